@@ -7,14 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logwarden.operators.rules import CORE_RULES, Rule
 from logwarden.plans.windowed import firing_windows
-from logwarden.schemas import ALERT_COLUMNS, ALERT_DDL
-
-_ALERT_TYPES = {f.name: f.dataType for f in T.StructType.fromDDL(ALERT_DDL)}
-
+from logwarden.schemas import ALERT_COLUMNS, ALERT_TYPES
 
 def detect(events: DataFrame, rule: Rule, distinct: str = "approx") -> DataFrame:
     """Alerts of one rule, in the 14 alert columns.
@@ -43,7 +39,7 @@ def detect(events: DataFrame, rule: Rule, distinct: str = "approx") -> DataFrame
             return F.col("measure").alias(name)
         if name in rule.carry:
             return F.col(f"max_{name}").alias(name)
-        return F.lit(constants[name]).cast(_ALERT_TYPES[name]).alias(name)
+        return F.lit(constants[name]).cast(ALERT_TYPES[name]).alias(name)
 
     return groups.select(*map(column, ALERT_COLUMNS))
 

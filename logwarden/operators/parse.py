@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.schemas import NULL_DEFAULTS, REQUIRED_FIELDS, event_columns, wire_schema
+from logwarden.schemas import NULL_DEFAULTS, REQUIRED_FIELDS, WIRE_DDL, event_columns, wire_types
 
 
 def _decode(messages: DataFrame, topic: str, zone_free: bool) -> DataFrame:
     """`value` plus one column per wire field, timestamp converted, no rows removed."""
     text = F.col("value").cast("string")
     fields = messages.select(
-        text.alias("value"), F.from_json(text, wire_schema(topic)).alias("event")
+        text.alias("value"), F.from_json(text, WIRE_DDL[topic]).alias("event")
     ).select("value", "event.*")
     time_type = "timestamp_ntz" if zone_free else "timestamp"
     # try_cast: under ANSI mode a plain conversion would fail the job on one bad line.
@@ -31,7 +31,7 @@ def parse_events(messages: DataFrame, topic: str, zone_free: bool = False) -> Da
     def field(name: str) -> Column:
         source = F.col("parsed_time") if name == "timestamp" else F.col(name)
         if name in defaults:
-            source = F.coalesce(source, F.lit(defaults[name]).cast(decoded.schema[name].dataType))
+            source = F.coalesce(source, F.lit(defaults[name]).cast(wire_types(topic)[name]))
         return source.alias(name)
 
     return decoded.select(*map(field, event_columns(topic))).dropna(subset=list(REQUIRED_FIELDS))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 TOPICS = ("auth", "firewall", "web")
 
 _COMMON = (
@@ -39,19 +37,20 @@ STATS_DDL = (
 )
 
 
-def wire_schema(topic: str) -> T.StructType:
-    return T.StructType.fromDDL(WIRE_DDL[topic])
+def column_types(ddl: str) -> dict[str, str]:
+    return dict(part.split() for part in ddl.split(", "))
 
 
-def event_columns(topic: str) -> list[str]:
-    return _names(WIRE_DDL[topic])
+def wire_types(topic: str) -> dict[str, str]:
+    return column_types(WIRE_DDL[topic])
 
 
-def _names(ddl: str) -> list[str]:
-    return [part.split()[0] for part in ddl.split(",")]
+def event_columns(topic: str) -> list[str]:
+    return list(wire_types(topic))
 
 
-ALERT_COLUMNS = _names(ALERT_DDL)
-STATS_COLUMNS = _names(STATS_DDL)
+ALERT_TYPES = column_types(ALERT_DDL)
+ALERT_COLUMNS = list(ALERT_TYPES)
+STATS_COLUMNS = list(column_types(STATS_DDL))
 
 SEVERITIES = ("LOW", "MED", "HIGH", "CRIT")

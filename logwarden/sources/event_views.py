@@ -94,3 +94,120 @@ def topic_view(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 
 def topic_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {topic: topic_view(spark, sf_dir, topic).drop("event_id") for topic in TOPICS}
+
+
+def dated_topic_view(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """The same records at their original times, which span a month instead of minutes."""
+    times = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
+    dated = topic_view(spark, sf_dir, topic).join(times, "event_id")
+    return dated.withColumn("timestamp", F.col("ts")).select(*event_columns(topic))
+
+
+_ISO = "replace(cast(timestamp AS string), ' ', 'T')"
+_SLOT = "source_port - 49152"
+
+
+def wire_messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Records as JSON text in `value`, as a broker would deliver them."""
+    view = topic_view(spark, sf_dir, topic).withColumn("timestamp", F.expr(_ISO))
+    return view.select(F.to_json(F.struct(*event_columns(topic))).alias("value"))
+
+
+def faulty_messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """`wire_messages` with one kind of damage for each of ten port slots.
+
+    Slot 0 truncated, 1 no source, 2 unreadable time, 3 quoted port, 4 byte overflow,
+    5 no country, 6 no action, 7 no destination port, 8 no JSON, 9 null.
+    """
+    view = topic_view(spark, sf_dir, topic).withColumn("slot", F.expr(_SLOT))
+    view = view.withColumn("timestamp", F.expr(f"if(slot = 2, 'not a time', {_ISO})"))
+    for slot, name in ((1, "source_ip"), (5, "country"), (6, "action"), (7, "destination_port")):
+        view = view.withColumn(name, F.when(F.col("slot") != slot, F.col(name)))
+    text = view.select(
+        "slot", F.to_json(F.struct(*event_columns(topic))).alias("json")
+    ).withColumn(
+        "value",
+        F.expr(
+            r"""CASE slot WHEN 0 THEN left(json, 20)
+                WHEN 3 THEN regexp_replace(json, '"source_port":([0-9]+)', '"source_port":"$1"')
+                WHEN 4 THEN regexp_replace(json, '"bytes_sent":[0-9]+',
+                                           '"bytes_sent":99999999999999999999')
+                WHEN 8 THEN 'oops' WHEN 9 THEN null ELSE json END"""
+        ),
+    )
+    return text.select("value")
+
+
+_SYSLOG_TIME = """concat(substr('JanFebMarAprMayJunJulAugSepOctNovDec',
+                                int(substr(timestamp, 6, 2)) * 3 - 2, 3),
+                         ' ', substr(timestamp, 9, 2), ' ', substr(timestamp, 12, 8))"""
+_RAW_LINE = {
+    "auth": f"""concat({_SYSLOG_TIME}, ' host', slot % 8, ' sshd[', 10000 + slot, ']: ',
+        CASE action WHEN 'login_fail' THEN concat('Failed password for ', username)
+                    WHEN 'login_success' THEN concat('Accepted password for ', username)
+                    ELSE concat('Invalid user ', username) END,
+        ' from ', source_ip, ' port ', source_port,
+        if(action = 'invalid_user', '', ' ssh2'))""",
+    "firewall": f"""concat({_SYSLOG_TIME}, ' firewall01 kernel: [UFW ', upper(action),
+        '] IN=eth0 OUT= ', if(slot % 10 = 0, '', 'MAC=00:11:22:33:44:55 '),
+        'SRC=', source_ip, ' DST=', destination_ip,
+        if(slot % 10 = 0, '', concat(' LEN=', bytes_sent)),
+        ' PROTO=TCP SPT=', 49152 + slot * 7 % 100, ' DPT=', destination_port)""",
+    "web": """concat(source_ip, ' - - [', substr(timestamp, 9, 2), '/',
+        substr('JanFebMarAprMayJunJulAugSepOctNovDec', int(substr(timestamp, 6, 2)) * 3 - 2, 3),
+        '/', substr(timestamp, 1, 4), ':', substr(timestamp, 12, 8), ' +0000] "GET ', url,
+        ' HTTP/1.1" ', http_status, ' ', bytes_sent, ' "-" "Mozilla/5.0"')""",
+}
+
+
+def raw_events(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Records whose `raw` is a line in the topic's log format; slot 13 has a broken line."""
+    view = topic_view(spark, sf_dir, topic).drop("event_id")
+    shaped = view.withColumn("slot", F.expr(_SLOT)).withColumn("text_time", F.expr(_ISO))
+    line = _RAW_LINE[topic].replace("timestamp", "text_time")
+    return shaped.withColumn(
+        "raw", F.when(F.col("slot") == 13, "broken line").otherwise(F.expr(line))
+    ).select(*event_columns(topic))
+
+
+def alert_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert rows of which some break the output contract, derived from the auth view."""
+    view = topic_view(spark, sf_dir, "auth").withColumn("slot", F.expr(_SLOT))
+    return view.select(
+        F.expr("if(slot = 0, null, timestamp)").alias("timestamp"),
+        F.expr("if(slot = 1, repeat('1', 46), source_ip)").alias("source_ip"),
+        "destination_ip",
+        "source_port",
+        "destination_port",
+        F.expr("if(slot = 3, repeat('u', 101), username)").alias("username"),
+        "topic",
+        "action",
+        "protocol",
+        "bytes_sent",
+        "country",
+        F.expr(
+            """CASE action WHEN 'login_fail' THEN 'CRIT' WHEN 'invalid_user' THEN 'SEVERE'
+               ELSE 'LOW' END"""
+        ).alias("severity"),
+        F.expr("if(slot = 2, null, 'brute_force')").alias("rule_triggered"),
+        "raw",
+    )
+
+
+def address_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One address and port per event: listed, private, border and malformed ones."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    slot = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return slot.select(
+        "event_id",
+        F.expr(
+            """concat(element_at(array(
+                   '13.33.0.', '13.32.0.', '1.1.1.', '1.1.2.', '8.8.4.', '45.33.32.',
+                   '209.141.36.', '209.141.37.', '80.82.77.', '192.168.1.', '192.168.2.',
+                   '172.15.0.', '172.16.0.', '172.31.0.', '172.32.0.', '10.0.0.', '100.0.0.',
+                   '256.1.1.', '1.2.', '01.2.3.'), k % 20 + 1), user_id % 300)"""
+        ).alias("source_ip"),
+        F.expr(
+            "element_at(array(23, 445, 1433, 3389, 4444, 5900, 6666, 31337, 22, null), k % 10 + 1)"
+        ).alias("destination_port"),
+    )
