@@ -30,10 +30,15 @@ def firing_windows(events: DataFrame, rule: Rule, distinct: str) -> DataFrame:
     """Groups over the rule's threshold.  `distinct` is "approx" or "exact"."""
     if distinct not in ("approx", "exact"):
         raise ValueError(f"distinct must be 'approx' or 'exact', not {distinct!r}")
-    hits = events.where(rule.where())
+    matches = rule.where()
     if events.isStreaming:
+        # A filter that does not mention the event time is moved below the watermark, which then
+        # sees matching events only and holds alerts back until the next match.  Mentioning the
+        # time keeps every event of the topic advancing the watermark.
+        hits = events.where(F.when(F.col("timestamp").isNotNull(), matches))
         exact = rule.counts_distinct and distinct == "exact"
         return _chained(hits, rule) if exact else _direct(hits, rule, distinct)
+    hits = events.where(matches)
     return _split(hits, rule, distinct) if rule.counts_distinct else _paned(hits, rule)
 
 
