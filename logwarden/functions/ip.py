@@ -61,8 +61,8 @@ def ipv4_to_long(ip: Column) -> Column:
     return F.when(ip.rlike(_DOTTED_QUAD), number)
 
 
-def in_networks(ip: Column, cidrs: Iterable[str]) -> Column:
-    """True where the address lies in one of the networks; malformed or null is false.
+def in_networks(number: Column, cidrs: Iterable[str]) -> Column:
+    """True where the numeric address lies in one of the networks; null is false.
 
     Networks of one prefix length share a mask, so the test is one set lookup per distinct
     length, however many networks there are.
@@ -71,7 +71,6 @@ def in_networks(ip: Column, cidrs: Iterable[str]) -> Column:
     for cidr in cidrs:
         net = ipaddress.IPv4Network(cidr, strict=False)
         bases_by_mask[int(net.netmask)].add(int(net.network_address))
-    number = ipv4_to_long(ip)
     hit = F.lit(False)
     for mask in sorted(bases_by_mask):
         masked = number.bitwiseAND(F.lit(mask).cast("bigint"))
@@ -99,12 +98,12 @@ def country_of(ip: Column, prefixes: Mapping[str, str] = COUNTRY_BY_PREFIX) -> C
     )
 
 
-def network_class(ip: Column) -> Column:
-    """server / employee / private / external, or invalid for a malformed address."""
+def network_class(number: Column) -> Column:
+    """server / employee / private / external, or invalid where there is no address."""
     return (
-        F.when(ipv4_to_long(ip).isNull(), "invalid")
-        .when(in_networks(ip, [SERVER_NETWORK]), "server")
-        .when(in_networks(ip, [EMPLOYEE_NETWORK]), "employee")
-        .when(in_networks(ip, PRIVATE_NETWORKS), "private")
+        F.when(number.isNull(), "invalid")
+        .when(in_networks(number, [SERVER_NETWORK]), "server")
+        .when(in_networks(number, [EMPLOYEE_NETWORK]), "employee")
+        .when(in_networks(number, PRIVATE_NETWORKS), "private")
         .otherwise("external")
     )

@@ -13,6 +13,7 @@ from logwarden.functions.ip import (
     WATCHED_PORTS,
     country_of,
     in_networks,
+    ipv4_to_long,
     network_class,
 )
 
@@ -23,12 +24,19 @@ def enrich_country(
     return events.withColumn("country", country_of(F.col("source_ip"), prefixes))
 
 
+def _with_number(events: DataFrame) -> DataFrame:
+    # A column of its own: used several times, it is still computed once per row.
+    return events.withColumn("ip_number", ipv4_to_long(F.col("source_ip")))
+
+
 def tag_blacklist(events: DataFrame, cidrs: Iterable[str] = BLOCK_LIST) -> DataFrame:
-    return events.withColumn("blacklisted", in_networks(F.col("source_ip"), cidrs))
+    listed = in_networks(F.col("ip_number"), cidrs)
+    return _with_number(events).withColumn("blacklisted", listed).drop("ip_number")
 
 
 def classify_network(events: DataFrame) -> DataFrame:
-    return events.withColumn("network_class", network_class(F.col("source_ip")))
+    kind = network_class(F.col("ip_number"))
+    return _with_number(events).withColumn("network_class", kind).drop("ip_number")
 
 
 def tag_suspicious_port(events: DataFrame, ports: Iterable[int] = WATCHED_PORTS) -> DataFrame:

@@ -12,25 +12,43 @@ from pyspark.sql import functions as F
 from logwarden.functions.ip import country_of
 from logwarden.schemas import NULL_DEFAULTS, event_columns, wire_types
 
-_SYSLOG = r"^([A-Z][a-z]{2}) +(\d{1,2}) (\d{2}:\d{2}:\d{2}) \S+ "
+_SYSLOG = r"([A-Z][a-z]{2}) +(\d{1,2}) (\d{2}:\d{2}:\d{2}) \S+ "
 _LINE = {
     "auth": _SYSLOG
-    + r"sshd\[\d+\]: (Failed password for|Accepted password for|Invalid user) "
+    + r"sshd\[\d+\]: (Failed|Accepted|Invalid) (?:password for|user) "
     + r"(\S+) from (\S+) port (\d+)",
-    "firewall": _SYSLOG + r"kernel: \[UFW (BLOCK|ALLOW)\] .*\bSRC=(\S+) DST=(\S+)",
-    "web": r"^(\S+) \S+ \S+ \[(\d{2})/([A-Z][a-z]{2})/(\d{4}):(\d{2}:\d{2}:\d{2}) \+0000\] "
+    "firewall": _SYSLOG
+    + r"kernel: \[UFW (BLOCK|ALLOW)\] (?:.* )?SRC=(\S+) DST=(\S+)"
+    + r"(?: LEN=(\S+))?(?:.*? PROTO=(\S+))?(?:.*? SPT=(\S+))?(?:.*? DPT=(\S+))?",
+    "web": r"(\S+) \S+ \S+ \[(\d{2})/([A-Z][a-z]{2})/(\d{4}):(\d{2}:\d{2}:\d{2}) \+0000\] "
     + r'"(\S+) (\S+) [^"]*" (\d{3}) (\d+|-) "[^"]*" "[^"]*"',
 }
+_NAMES = {
+    "auth": "month day clock verb username source_ip source_port",
+    "firewall": "month day clock verb source_ip destination_ip bytes_sent protocol source_port "
+    "destination_port",
+    "web": "source_ip day month year clock http_method url http_status bytes_sent",
+}
 _MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
 
-def _group(topic: str, index: int) -> Column:
-    return F.regexp_extract("line", _LINE[topic], index)
-
+def _split_line(lines: DataFrame, topic: str) -> DataFrame:
+    """All columns of `lines` plus `found`, the named parts of the line; null if it differs.
 
-def _tag(key: str) -> Column:
-    """Value of a KEY=value pair, null where the pair is absent."""
-    return F.nullif(F.regexp_extract("line", rf"\b{key}=(\S+)", 1), F.lit(""))
+    One pattern pass: a matching line is replaced by its parts, joined by tabs, which no part
+    can contain.  A line that stays as it was did not match.  The generator keeps the result
+    from being computed again in every filter and field above it.
+    """
+    names = _NAMES[topic].split()
+    groups = "\t".join(f"${i + 1}" for i in range(len(names)))
+    joined = F.regexp_replace("line", f"(?s)^{_LINE[topic]}.*$", groups)
+    parts = F.when(joined != F.col("line"), F.split(joined, "\t"))
+    split = lines.select("*", F.explode(F.array(parts)).alias("parts"))
+    found = F.struct(*[F.nullif(F.get("parts", F.lit(i)), F.lit("")).alias(name)
+                       for i, name in enumerate(names)])
+    return split.select(
+        *lines.columns, F.when(F.col("parts").isNotNull(), found).alias("found")
+    )
 
 
 def _instant(year: Column, month: Column, day: Column, clock: Column) -> Column:
@@ -43,65 +61,55 @@ def _instant(year: Column, month: Column, day: Column, clock: Column) -> Column:
 
 
 def _fields(topic: str, year: int) -> dict[str, Column]:
-    if topic == "auth":
-        verb = _group(topic, 4)
-        return {
-            "timestamp": _instant(F.lit(str(year)), *(_group(topic, i) for i in (1, 2, 3))),
-            "source_ip": _group(topic, 6),
-            "source_port": _group(topic, 7),
-            "username": _group(topic, 5),
-            "action": F.when(verb.startswith("Failed"), "login_fail")
-            .when(verb.startswith("Accepted"), "login_success")
-            .otherwise("invalid_user"),
-            "protocol": F.lit("TCP"),
-        }
-    if topic == "firewall":
-        return {
-            "timestamp": _instant(F.lit(str(year)), *(_group(topic, i) for i in (1, 2, 3))),
-            "source_ip": _group(topic, 5),
-            "destination_ip": _group(topic, 6),
-            "source_port": _tag("SPT"),
-            "destination_port": _tag("DPT"),
-            "action": F.lower(_group(topic, 4)),
-            "protocol": _tag("PROTO"),
-            "bytes_sent": _tag("LEN"),
-        }
-    return {
-        "timestamp": _instant(*(_group(topic, i) for i in (4, 3, 2, 5))),
-        "source_ip": _group(topic, 1),
-        "action": F.concat(F.lit("http_"), _group(topic, 8)),
+    """Event columns the line itself determines."""
+    part = {name: F.col(f"found.{name}") for name in _NAMES[topic].split()}
+    verb = part.get("verb")
+    known = {
+        "timestamp": _instant(
+            part.get("year", F.lit(str(year))), part["month"], part["day"], part["clock"]
+        ),
         "protocol": F.lit("TCP"),
-        "bytes_sent": _group(topic, 9),
-        "url": _group(topic, 7),
-        "http_method": _group(topic, 6),
-        "http_status": _group(topic, 8),
+        **part,
     }
+    if topic == "auth":
+        known["action"] = (
+            F.when(verb == "Failed", "login_fail")
+            .when(verb == "Accepted", "login_success")
+            .otherwise("invalid_user")
+        )
+    elif topic == "firewall":
+        known["action"] = F.lower(verb)
+    else:
+        known["action"] = F.concat(F.lit("http_"), part["http_status"])
+    return known
 
 
 def _read(lines: DataFrame, topic: str, year: int, zone_free: bool) -> DataFrame:
-    """All columns of `lines` plus `fields`, a struct that is null for an unmatched line."""
-    found = _fields(topic, year)
+    """All columns of `lines` plus `fields`, a struct that is null for an unusable line."""
+    known = _fields(topic, year)
+    known |= {
+        "raw": F.col("line"),
+        "topic": F.lit(topic),
+        "country": country_of(known["source_ip"]),
+    }
+    if topic == "web" and not zone_free:
+        # Web lines carry an offset of +0000; without a zone their clock time is kept.
+        known["timestamp"] = F.concat(known["timestamp"], F.lit("Z"))
+    types = wire_types(topic) | {"timestamp": "timestamp_ntz" if zone_free else "timestamp"}
     defaults = NULL_DEFAULTS[topic]
-    fixed = {"raw": F.col("line"), "topic": F.lit(topic), "country": country_of(found["source_ip"])}
 
     def field(name: str) -> Column:
-        kind = wire_types(topic)[name]
-        if name == "timestamp":
-            # Web lines carry an offset of +0000; without a zone their clock time is kept.
-            text = found[name]
-            if topic == "web" and not zone_free:
-                text = F.concat(text, F.lit("Z"))
-            return text.try_cast("timestamp_ntz" if zone_free else "timestamp").alias(name)
-        value = fixed.get(name, found.get(name, F.lit(None))).try_cast(kind)
+        value = known.get(name, F.lit(None)).try_cast(types[name])
         if name in defaults:
-            value = F.coalesce(value, F.lit(defaults[name]).cast(kind))
+            value = F.coalesce(value, F.lit(defaults[name]).cast(types[name]))
         return value.alias(name)
 
     record = F.struct(*map(field, event_columns(topic)))
-    matched = lines.select("*", F.when(F.col("line").rlike(_LINE[topic]), record).alias("fields"))
     # A line whose date does not exist is as unusable as one that does not match.
-    usable = F.col("fields.timestamp").isNotNull()
-    return matched.withColumn("fields", F.when(usable, F.col("fields")))
+    usable = F.col("found").isNotNull() & known["timestamp"].try_cast("timestamp").isNotNull()
+    return _split_line(lines, topic).select(
+        *lines.columns, F.when(usable, record).alias("fields")
+    )
 
 
 def parse_raw(lines: DataFrame, topic: str, year: int, zone_free: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logwarden.functions.ip import BLOCK_LIST, in_networks, is_private_text
+from logwarden.functions.ip import BLOCK_LIST, in_networks, ipv4_to_long, is_private_text
 
 
 @dataclass(frozen=True)
@@ -204,7 +204,7 @@ def block_list_rule(topic: str) -> Rule:
     return Rule(
         name="blacklist",
         topic=topic,
-        where=lambda: in_networks(F.col("source_ip"), BLOCK_LIST),
+        where=lambda: in_networks(ipv4_to_long(F.col("source_ip")), BLOCK_LIST),
         window_s=60,
         slide_s=60,
         measure=Agg("count"),

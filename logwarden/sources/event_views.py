@@ -61,11 +61,17 @@ _OTHERS = {
 }
 
 
-def topic_view(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+_COMPRESSED = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + event_id * INTERVAL '0.1' SECOND"
+
+
+def topic_view(
+    spark: SparkSession, sf_dir: str, topic: str, time: str = _COMPRESSED
+) -> DataFrame:
     """Typed events of one topic; the timestamp is TIMESTAMP_NTZ."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     base = events.select(
         "event_id",
+        "ts",
         "user_id",
         "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -74,7 +80,7 @@ def topic_view(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     )
     computed = {
         "raw": "concat(action, ' ', event_id)",
-        "timestamp": "TIMESTAMP_NTZ'2024-01-01 00:00:00' + event_id * INTERVAL '0.1' SECOND",
+        "timestamp": time,
         "source_ip": "source_ip",
         "action": "action",
         "source_port": "49152 + k",
@@ -98,9 +104,7 @@ def topic_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def dated_topic_view(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     """The same records at their original times, which span a month instead of minutes."""
-    times = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
-    dated = topic_view(spark, sf_dir, topic).join(times, "event_id")
-    return dated.withColumn("timestamp", F.col("ts")).select(*event_columns(topic))
+    return topic_view(spark, sf_dir, topic, time="ts").drop("event_id")
 
 
 _ISO = "replace(cast(timestamp AS string), ' ', 'T')"
