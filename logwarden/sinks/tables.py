@@ -40,15 +40,23 @@ def _nonempty(name: str, write: BatchWriter) -> BatchWriter:
     return handle
 
 
-def parquet_table(path: str, run: str) -> BatchWriter:
+def _query_id(batch: DataFrame) -> str:
+    """Identity of the running query, which its checkpoint keeps over restarts."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query_id is None:
+        raise ValueError("this writer works inside foreachBatch of a streaming query only")
+    return query_id
+
+
+def parquet_table(path: str) -> BatchWriter:
     """Idempotent table: a batch owns one folder, so a replayed batch replaces itself.
 
-    `run` names the checkpoint lineage.  Batch numbers restart at zero with a new checkpoint,
-    and a new name keeps them from replacing the rows of the old one.
+    Queries may share a table.  Batch numbers are per query, and start again at zero with a new
+    checkpoint, so the folder carries the query's identity as well.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/run={run}/batch_id={batch_id}"
+        target = f"{path}/query={_query_id(batch)}/batch_id={batch_id}"
         # Rebalancing sizes the files by volume, whatever the number of shuffle partitions.
         batch.hint("rebalance").write.mode("overwrite").parquet(target)
 
@@ -57,7 +65,7 @@ def parquet_table(path: str, run: str) -> BatchWriter:
 
 def jdbc_table(table: str, database: DatabaseConfig) -> BatchWriter:
     """Database table, appended in parallel.  At least once: a replayed batch adds its rows
-    again, and the `batch_id` column lets a reader tell them apart."""
+    again, and the added `query_id` and `batch_id` columns let a reader tell them apart."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         properties = {
@@ -66,7 +74,9 @@ def jdbc_table(table: str, database: DatabaseConfig) -> BatchWriter:
             "driver": database.driver,
             "batchsize": "10000",
         }
-        stamped = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stamped = batch.withColumns(
+            {"query_id": F.lit(_query_id(batch)), "batch_id": F.lit(batch_id).cast("bigint")}
+        )
         stamped.write.jdbc(database.url, table, mode="append", properties=properties)
 
     return _nonempty(table, write)

@@ -57,10 +57,10 @@ def replay(
         messages.select("value").unionByName(end).write.text(wire)
         events = event_stream(file_messages(session, wire), topic, config)
         if product == "alerts":
-            sink = parquet_table(f"{folder}/table", topic)
+            sink = parquet_table(f"{folder}/table")
             running.append(start_alerts(events, topic, config, sink, trigger))
         elif product == "stats":
-            sink = parquet_table(f"{folder}/table", topic)
+            sink = parquet_table(f"{folder}/table")
             running.append(start_stats(events, topic, config, sink, trigger))
         else:
             running.append(start_archive(events, topic, config, trigger))
@@ -77,5 +77,5 @@ def replay(
         for table in tables[1:]:
             result = result.unionByName(table)
         return result.where(F.col("source_ip") != _FLUSH_IP)
-    table = session.read.parquet(f"{folder}/table").drop("run", "batch_id")
+    table = session.read.parquet(f"{folder}/table").drop("query", "batch_id")
     return table.where(F.col("source_ip") != _FLUSH_IP)
