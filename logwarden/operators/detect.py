@@ -30,7 +30,7 @@ def detect(events: DataFrame, rule: Rule, distinct: str = "approx") -> DataFrame
 
     def column(name: str) -> Column:
         if name == "timestamp":
-            return F.col("window.start").alias(name)
+            return F.col("window_start").alias(name)
         if name in ("source_ip", "country"):
             return F.col(name)
         if name == "severity":

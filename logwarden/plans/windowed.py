@@ -1,6 +1,6 @@
 """How a rule's windowed aggregate is laid out for Spark.
 
-Every shape returns the groups that pass the rule: window, source_ip, country, measure, the
+Every shape returns the groups that pass the rule: window_start, source_ip, country, measure, the
 extras and the carried columns.  The shapes differ only in cost.
 
 * Tables, count/sum rules (`_paned`): an event lies in two to five overlapping windows, and a
@@ -46,12 +46,23 @@ def _seconds(n: int) -> str:
     return f"{n} seconds"
 
 
-def _sliding(rule: Rule, source: str = "timestamp") -> Column:
-    return F.window(source, _seconds(rule.window_s), _seconds(rule.slide_s)).alias("window")
+def _sliding(rule: Rule) -> Column:
+    return F.window("timestamp", _seconds(rule.window_s), _seconds(rule.slide_s)).alias("window")
 
 
-def _pane(rule: Rule) -> Column:
-    return F.window("timestamp", _seconds(gcd(rule.window_s, rule.slide_s))).alias("pane")
+# Tables group by the start of a pane or window only: a plain timestamp, unlike the struct of
+# both ends, lets Spark sort on an eight-byte prefix.
+
+
+def _with_window_start(rows: DataFrame, rule: Rule, source: str = "timestamp") -> DataFrame:
+    window = F.window(source, _seconds(rule.window_s), _seconds(rule.slide_s))
+    return rows.withColumn("window_start", window.start)
+
+
+def _with_pane(hits: DataFrame, rule: Rule) -> DataFrame:
+    """Panes divide both the window and its slide, so a pane lies in the windows its start does."""
+    pane = F.window("timestamp", _seconds(gcd(rule.window_s, rule.slide_s)))
+    return hits.withColumn("pane", pane.start)
 
 
 def _evaluate(agg: Agg, name: str, distinct: str = "exact") -> Column:
@@ -83,7 +94,7 @@ def _direct(hits: DataFrame, rule: Rule, distinct: str) -> DataFrame:
     aggs = {"measure": rule.measure, **rule.extras}
     columns = [_evaluate(agg, name, distinct) for name, agg in aggs.items()]
     groups = hits.groupBy(_sliding(rule), "source_ip", "country").agg(*columns, *_carried(rule))
-    return _passing(groups, rule)
+    return _passing(groups, rule).withColumn("window_start", F.col("window.start"))
 
 
 def _chained(hits: DataFrame, rule: Rule) -> DataFrame:
@@ -93,19 +104,19 @@ def _chained(hits: DataFrame, rule: Rule) -> DataFrame:
     groups = per_value.groupBy("window", "source_ip", "country").agg(
         F.count("value").alias("measure"), *_merged(rule, rule.extras)
     )
-    return _passing(groups, rule)
+    return _passing(groups, rule).withColumn("window_start", F.col("window.start"))
 
 
 def _paned(hits: DataFrame, rule: Rule) -> DataFrame:
     aggs = {"measure": rule.measure, **rule.extras}
     columns = [_evaluate(agg, name) for name, agg in aggs.items()]
-    panes = hits.groupBy(_pane(rule), "source_ip", "country").agg(*columns, *_carried(rule))
+    keys = ("source_ip", "country")
+    panes = _with_pane(hits, rule).groupBy("pane", *keys).agg(*columns, *_carried(rule))
     if rule.window_s == rule.slide_s:
-        groups = panes.withColumnRenamed("pane", "window")
+        groups = panes.withColumnRenamed("pane", "window_start")
     else:
-        groups = panes.groupBy(_sliding(rule, "pane"), "source_ip", "country").agg(
-            *_merged(rule, aggs)
-        )
+        spread = _with_window_start(panes, rule, "pane")
+        groups = spread.groupBy("window_start", *keys).agg(*_merged(rule, aggs))
     return _passing(groups, rule)
 
 
@@ -113,14 +124,20 @@ def _split(hits: DataFrame, rule: Rule, distinct: str) -> DataFrame:
     # A struct key equals itself even where a field is null, so a null country still joins.
     hits = hits.withColumn("who", F.struct("source_ip", "country"))
     aggs = {"measure": rule.measure, **rule.extras}
-    counted = hits.groupBy(_sliding(rule), "who").agg(
-        *[_evaluate(agg, name, distinct) for name, agg in aggs.items()]
+    counted = (
+        _with_window_start(hits, rule)
+        .groupBy("window_start", "who")
+        .agg(*[_evaluate(agg, name, distinct) for name, agg in aggs.items()])
+    )
+    panes = _with_pane(hits, rule).groupBy("pane", "who").agg(*_carried(rule))
+    carried = (
+        _with_window_start(panes, rule, "pane")
+        .groupBy("window_start", "who")
+        .agg(*_merged(rule, {}))
     )
-    panes = hits.groupBy(_pane(rule), "who").agg(*_carried(rule))
-    carried = panes.groupBy(_sliding(rule, "pane"), "who").agg(*_merged(rule, {}))
     return (
         _passing(counted, rule)
-        .join(carried, ["window", "who"])
+        .join(carried, ["window_start", "who"])
         .select("*", "who.source_ip", "who.country")
         .drop("who")
     )
