@@ -18,7 +18,7 @@ _LINE = {
     + r"sshd\[\d+\]: (Failed|Accepted|Invalid) (?:password for|user) "
     + r"(\S+) from (\S+) port (\d+)",
     "firewall": _SYSLOG
-    + r"kernel: \[UFW (BLOCK|ALLOW)\] (?:.* )?SRC=(\S+) DST=(\S+)"
+    + r"kernel: \[UFW (BLOCK|ALLOW)\] .*?\bSRC=(\S+) DST=(\S+)"
     + r"(?: LEN=(\S+))?(?:.*? PROTO=(\S+))?(?:.*? SPT=(\S+))?(?:.*? DPT=(\S+))?",
     "web": r"(\S+) \S+ \S+ \[(\d{2})/([A-Z][a-z]{2})/(\d{4}):(\d{2}:\d{2}:\d{2}) \+0000\] "
     + r'"(\S+) (\S+) [^"]*" (\d{3}) (\d+|-) "[^"]*" "[^"]*"',
@@ -42,13 +42,15 @@ def _split_line(lines: DataFrame, topic: str) -> DataFrame:
     names = _NAMES[topic].split()
     groups = "\t".join(f"${i + 1}" for i in range(len(names)))
     joined = F.regexp_replace("line", f"(?s)^{_LINE[topic]}.*$", groups)
-    parts = F.when(joined != F.col("line"), F.split(joined, "\t"))
-    split = lines.select("*", F.explode(F.array(parts)).alias("parts"))
-    found = F.struct(*[F.nullif(F.get("parts", F.lit(i)), F.lit("")).alias(name)
-                       for i, name in enumerate(names)])
-    return split.select(
-        *lines.columns, F.when(F.col("parts").isNotNull(), found).alias("found")
+    replaced = lines.select("*", F.explode(F.array(joined)).alias("joined"))
+    split = replaced.select(
+        *lines.columns,
+        F.when(F.col("joined") != F.col("line"), F.split("joined", "\t")).alias("parts"),
     )
+    found = F.struct(
+        *[F.nullif(F.get("parts", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
+    )
+    return split.select(*lines.columns, F.when(F.col("parts").isNotNull(), found).alias("found"))
 
 
 def _instant(year: Column, month: Column, day: Column, clock: Column) -> Column:
@@ -85,7 +87,7 @@ def _fields(topic: str, year: int) -> dict[str, Column]:
 
 
 def _read(lines: DataFrame, topic: str, year: int, zone_free: bool) -> DataFrame:
-    """All columns of `lines` plus `fields`, a struct that is null for an unusable line."""
+    """All columns of `lines` plus `fields`, the event; null for a line of another format."""
     known = _fields(topic, year)
     known |= {
         "raw": F.col("line"),
@@ -104,22 +106,24 @@ def _read(lines: DataFrame, topic: str, year: int, zone_free: bool) -> DataFrame
             value = F.coalesce(value, F.lit(defaults[name]).cast(types[name]))
         return value.alias(name)
 
-    record = F.struct(*map(field, event_columns(topic)))
-    # A line whose date does not exist is as unusable as one that does not match.
-    usable = F.col("found").isNotNull() & known["timestamp"].try_cast("timestamp").isNotNull()
+    record = F.when(F.col("found").isNotNull(), F.struct(*map(field, event_columns(topic))))
     return _split_line(lines, topic).select(
-        *lines.columns, F.when(usable, record).alias("fields")
+        *lines.columns, F.explode(F.array(record)).alias("fields")
     )
 
 
+# A line whose date does not exist is as unusable as one that does not match.
+_USABLE = "fields.timestamp is not null"
+
+
 def parse_raw(lines: DataFrame, topic: str, year: int, zone_free: bool = False) -> DataFrame:
     """Events from a `line` column; lines of another format are left to `rejected_raw`."""
-    events = _read(lines, topic, year, zone_free).where("fields is not null")
+    events = _read(lines, topic, year, zone_free).where(_USABLE)
     return events.select("fields.*")
 
 
 def rejected_raw(lines: DataFrame, topic: str, year: int) -> DataFrame:
-    rejects = _read(lines, topic, year, zone_free=True).where("fields is null")
+    rejects = _read(lines, topic, year, zone_free=True).where(f"not ({_USABLE})")
     return rejects.select(F.lit(topic).alias("topic"), "line")
 
 
@@ -132,7 +136,7 @@ def raw_vs_json_consistency(
     event time is compared to the second, the precision of a raw line.
     """
     read = _read(events.withColumn("line", F.col("raw")), topic, year, zone_free=True)
-    matched = F.col("fields").isNotNull()
+    matched = F.expr(_USABLE)
 
     def differs(name: str) -> Column:
         own, read_value = F.col(name), F.col(f"fields.{name}")
