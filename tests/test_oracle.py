@@ -39,3 +39,19 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+SPARK_TYPE = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz",
+    "BOOLEAN": "boolean",
+}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if not n.startswith("stream_")))
+def test_types(spark, con, name):
+    described = con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()
+    expected = {column: SPARK_TYPE[kind] for column, kind, *_ in described}
+    assert dict(contract.queries()[name](spark, "/root/testdata/sf0.001").dtypes) == expected
