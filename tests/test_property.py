@@ -27,22 +27,25 @@ MEASURES = {
 
 def random_events(seed):
     rng = random.Random(seed)
-    actions = ["login_fail", "invalid_user", "login_success", "block", "allow", "http_404"]
+    actions = ["login_fail", "invalid_user", "login_success", "block", "allow"] + ["http_404"] * 3
     # One address has a third of all events.
-    sources = ["10.0.0.1"] * 3 + ["10.0.0.2", "5.5.5.5", "6.6.6.6", "7.7.7.7", "8.8.8.8", "9.9.9.9"]
+    sources = ["10.0.0.1"] * 3 + [
+        "10.0.0.2", "5.5.5.5", "6.6.6.6", "7.7.7.7", "8.8.8.8", "185.220.101.7",
+    ]
     return [
         event(
-            rng.choice([rng.uniform(-400, 400), rng.randrange(-10, 10) * 30]),
+            rng.choice([rng.uniform(-200, 200), rng.randrange(-5, 5) * 30]),
             action=rng.choice(actions),
             source_ip=rng.choice(sources),
             country=rng.choice(["DE", "DE", None]),
             destination_ip=f"10.0.0.{rng.randrange(12)}",
             destination_port=rng.randrange(25),
-            url=f"/{rng.randrange(40)}",
-            bytes_sent=rng.randrange(20_000_000),
+            url=f"/{rng.randrange(400)}",
+            http_status=rng.choice([404, 404, 200]),
+            bytes_sent=rng.randrange(5_000_000),
             raw=f"r{rng.randrange(1000)}",
         )
-        for _ in range(900)
+        for _ in range(3000)
     ]
 
 
@@ -72,5 +75,5 @@ def test_rule_matches_plain_counting(spark, rule, seed):
         ((r.timestamp - T0).total_seconds(), r.source_ip, r.country, r.severity, r.raw)
         for r in rows
     }
-    assert len(got) == len(rows)
+    assert got and len(got) == len(rows)
     assert got == expected(rule, events)

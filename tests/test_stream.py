@@ -83,14 +83,17 @@ def burst(n, second=1.0, **given):
 def test_stream_equals_table(feed, distinct):
     feed.config = dataclasses.replace(feed.config, distinct=distinct)
     events = sorted(random_events(7), key=lambda e: e["timestamp"])
-    for first in range(0, len(events), 300):
-        feed.add(*events[first : first + 300])
+    for first in range(0, len(events), 1000):
+        feed.add(*events[first : first + 1000])
     feed.add(FLUSH)
+    chosen = (*rules.CORE_RULES, *rules.VARIANT_RULES, rules.block_list_rule("auth"))
     for topic in ("auth", "firewall", "web"):
-        feed.alerts(topic)
+        feed.alerts(topic, chosen)
     topics = {topic: feed.as_table(topic) for topic in ("auth", "firewall", "web")}
-    expected = rows(detect_all(topics, distinct=distinct))
-    assert len(expected) > 50
+    alerts = detect_all(topics, chosen, distinct)
+    expected = rows(alerts)
+    fired = {r.rule_triggered for r in alerts.select("rule_triggered").distinct().collect()}
+    assert fired == {rule.name for rule in chosen}
     assert rows(feed.table()) == expected
 
 
