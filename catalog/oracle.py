@@ -216,7 +216,7 @@ _SINCE = """WHERE window_start >= TIMESTAMP '2024-01-01 00:01:00'
 
 
 def _topic_sum(measure: str, topic: str) -> str:
-    total = f"sum(CASE WHEN topic = '{topic}' THEN {measure} ELSE 0 END)"
+    total = f"coalesce(sum({measure}) FILTER (topic = '{topic}'), 0)"
     return f'CAST({total} AS BIGINT) AS "{topic.capitalize()}"'
 
 
@@ -404,8 +404,7 @@ ORACLE: dict[str, str] = {
     ),
     "q_alerts_by_severity": _from_alerts(
         """SELECT severity, count(*) AS count FROM all_alerts GROUP BY severity
-        ORDER BY CASE severity WHEN 'LOW' THEN 1 WHEN 'MED' THEN 2 WHEN 'HIGH' THEN 3
-                               WHEN 'CRIT' THEN 4 END"""
+        ORDER BY list_position(['LOW', 'MED', 'HIGH', 'CRIT'], severity)"""
     ),
     "q_events_over_time": _from_stats(
         f"""SELECT window_start AS "time", {_topic_sum("event_count", "auth")},

@@ -49,6 +49,7 @@ WATCHED_PORTS = (23, 445, 1433, 3389, 4444, 5900, 6666, 31337)
 UNKNOWN_COUNTRY = "UNKNOWN"
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_PRIVATE_PREFIX = r"^(10|192\.168|172\.(1[6-9]|2\d|3[01]))\."
 _DOTTED_QUAD = rf"\A{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
 
 
@@ -80,11 +81,7 @@ def in_networks(number: Column, cidrs: Iterable[str]) -> Column:
 
 def is_private_text(ip: Column) -> Column:
     """RFC 1918 test on the text form, as the rules apply it (no validity check)."""
-    return (
-        ip.startswith("10.")
-        | ip.startswith("192.168.")
-        | ip.rlike(r"^172\.(1[6-9]|2[0-9]|3[01])\.")
-    )
+    return ip.rlike(_PRIVATE_PREFIX)
 
 
 def country_of(ip: Column, prefixes: Mapping[str, str] = COUNTRY_BY_PREFIX) -> Column:

@@ -19,7 +19,7 @@ def topic_stats(events: DataFrame, topic: str) -> DataFrame:
     """
     minutes = events.groupBy(F.window("timestamp", "1 minute"), "source_ip", "country").agg(
         F.count("*").alias("event_count"),
-        F.sum(F.when(F.col("action").contains("fail"), 1).otherwise(0)).alias("fail_count"),
+        F.count_if(F.col("action").contains("fail")).alias("fail_count"),
         F.sum("bytes_sent").alias("bytes_total"),
     )
     return minutes.select(
