@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import common, decontaminate, simhash
+from logwarden.llm import common, decontaminate, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -37,6 +43,7 @@ QUERIES: dict[str, Query] = {
     name: _shipped(query)
     for name, query in {
         "op1_decontamination": op1_decontamination,
+        "op7_token_counts": op7_token_counts,
         "op9_simhash": op9_simhash,
     }.items()
 }
