@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import common, decontaminate, simhash, token_counts
+from logwarden.llm import common, decontaminate, pieces, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,21 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ids_sha256: of the ids, comma-joined; round_trip: whether decoding gave the text again."""
+    docs = common.table(spark, sf_dir, "documents")
+    model = pieces.share(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    both = pieces.decode(pieces.encode(docs, model), model)
+    text = F.coalesce("text", F.lit(""))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         common.ship(spark)
@@ -45,5 +60,6 @@ QUERIES: dict[str, Query] = {
         "op1_decontamination": op1_decontamination,
         "op7_token_counts": op7_token_counts,
         "op9_simhash": op9_simhash,
+        "op10_pieces": op10_pieces,
     }.items()
 }
