@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import common, decontaminate, pieces, simhash, token_counts
+from logwarden.llm import common, decontaminate, licenses, phrases, pieces, pii, quality, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+def op3_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.compare_with_next(common.table(spark, sf_dir, "documents"))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(common.table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(common.table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,6 +74,10 @@ QUERIES: dict[str, Query] = {
     name: _shipped(query)
     for name, query in {
         "op1_decontamination": op1_decontamination,
+        "op2_quality": op2_quality,
+        "op3_phrases": op3_phrases,
+        "op4_licenses": op4_licenses,
+        "op5_pii": op5_pii,
         "op7_token_counts": op7_token_counts,
         "op9_simhash": op9_simhash,
         "op10_pieces": op10_pieces,
