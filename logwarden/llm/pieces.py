@@ -18,21 +18,30 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from logwarden.llm import common
 
 META = "▁"
 #: Types of pieces in the model file.
 _NORMAL, _UNKNOWN, _CONTROL, _BYTE = 1, 2, 3, 6
-_REMEMBERED_WORDS = 200_000
+_REMEMBERED_WORDS = 150_000
 _REMEMBERED_PAIRS = 100_000
 _PAIR_SLOTS = 1 << 20
+#: Bytes of text encoded together, and rows decoded together.
+_SLICE_BYTES = 2 << 20
+_BLOCK_WORDS = 8000
+_DECODED_ROWS = 500
+_NO_IDS = np.empty(0, np.int32)
 #: Longest word, in characters, that goes through the composition in a block.
 _LONG_WORD = 40
 
 
+def _packed(ids: tuple[int, ...]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 @dataclass
 class Transducer:
     """Compiled model: pieces with their merge order, the trie (all beginnings of pieces, -1 where no
@@ -51,7 +60,8 @@ class Transducer:
     slot_key: np.ndarray = None
     slot_open: np.ndarray = None
     histories: dict[int, tuple[tuple[float, ...], tuple[str, ...], tuple[str, ...]]] = field(default_factory=dict)
-    words: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    words: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
     pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
 
     def history(self, name: str) -> tuple[tuple[float, ...], tuple[str, ...], tuple[str, ...]]:
@@ -147,73 +157,91 @@ class Transducer:
             self.slot_key[at], self.slot_open[at] = value, answer
         return out
 
-    def paths(self, words: list[str]) -> list[tuple[int, ...]]:
-        """`path` of each word; words of like length go through the composition together."""
-        out: list[tuple[int, ...]] = [()] * len(words)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+    def paths(self, words: list[str]) -> list[bytes]:
+        """`path` of each word, as 32-bit numbers; words of like length go through the composition together."""
+        out, sizes = [b""] * len(words), np.fromiter(map(len, words), np.int64, len(words))
         edges = [0, 4, 7, 10, 13, 16, 20, 26, _LONG_WORD]
         for k in np.flatnonzero(sizes > _LONG_WORD).tolist():
-            out[k] = self.path(words[k])
+            out[k] = _packed(self.path(words[k]))
         for low, high in zip(edges, edges[1:], strict=False):
             chosen = np.flatnonzero((sizes > low) & (sizes <= high))
-            for k in range(0, len(chosen), 20_000):
-                part = chosen[k : k + 20_000]
+            for k in range(0, len(chosen), _BLOCK_WORDS):
+                part = chosen[k : k + _BLOCK_WORDS]
                 for i, ids in zip(part.tolist(), self._block([words[i] for i in part.tolist()], sizes[part], high), strict=True):
                     out[i] = ids
         return out
 
-    def _block(self, words: list[str], sizes: np.ndarray, high: int) -> list[tuple[int, ...]]:
+    def _block(self, words: list[str], sizes: np.ndarray, high: int) -> list[bytes]:
         rows = len(words)
         code = np.frombuffer("".join(w.ljust(high, "\0") for w in words).encode("utf-32-le"), "<u4").reshape(rows, high)
-        # arcs[d, row, start]: the piece of d + 1 characters from start on, or -1
-        arcs = np.full((min(self.longest, high), rows, high), -1, np.int32)
+        # Arcs of d + 1 characters: at (start * rows + row) and piece, in the order of start.
+        flat, arcs = code.T.ravel().astype(np.int64), []
         at, node = np.arange(rows * high), np.zeros(rows * high, np.int64)
-        flat = code.ravel()
-        for d in range(len(arcs)):
-            inside = at % high + d < high
-            at, node = at[inside], node[inside]
-            node = self.step(node, flat[at + d])
+        for d in range(min(self.longest, high)):
+            at, node = at[: np.searchsorted(at, (high - d) * rows)], node[: np.searchsorted(at, (high - d) * rows)]
+            node = self.step(node, flat[at + d * rows])
             at, node = at[node >= 0], node[node >= 0]
-            arcs[d].reshape(-1)[at] = self.piece[node]
-        last = np.full((rows, high + 1), -1, np.int32)
-        begin = np.tile(np.arange(-1, high), (rows, 1))
+            piece = self.piece[node]
+            ends = piece >= 0
+            arcs.append((at[ends] % rows, piece[ends], np.searchsorted(at[ends], np.arange(high + 1) * rows)))
+        last = np.full((high + 1, rows), -2, np.int32)
+        last[0] = -1
+        begin = np.zeros((high + 1, rows), np.int64)
         for end in range(1, high + 1):
-            waiting = np.arange(rows)
             for d in range(min(len(arcs), end), 0, -1):
-                start = end - d
-                piece = arcs[d - 1, waiting, start]
-                chosen = waiting[piece >= 0]
-                piece, before = piece[piece >= 0], last[chosen, start]
-                fits = np.full(len(chosen), start == 0) | (before < 0)
-                fits[~fits] = self.open_arcs(before[~fits], piece[~fits])
-                last[chosen[fits], end], begin[chosen[fits], end] = piece[fits], start
-                waiting = np.setdiff1d(waiting, chosen[fits], assume_unique=True)
-                if not len(waiting):
-                    break
-        ids, position, n = np.zeros((rows, high), np.int32), sizes.copy(), 0
-        count, line, odd = np.zeros(rows, np.int64), np.arange(rows), np.zeros(rows, bool)
+                row, piece, bounds = arcs[d - 1]
+                part = slice(bounds[end - d], bounds[end - d + 1])
+                row, piece = row[part], piece[part]
+                if not len(row):
+                    continue
+                free = last[end, row] == -2
+                row, piece = row[free], piece[free]
+                before = last[end - d, row]
+                if end > d:
+                    fits = before < 0
+                    fits[~fits] = self.open_arcs(before[~fits], piece[~fits])
+                    row, piece = row[fits], piece[fits]
+                last[end, row], begin[end, row] = piece, end - d
+            none = last[end] == -2  # no piece has this character: its bytes
+            last[end, none], begin[end, none] = -1, end - 1
+        ids, position, n = np.full((rows, high), -1, np.int32), sizes.copy(), 0
+        line, odd = np.arange(rows), np.zeros(rows, bool)
         while (position > 0).any():
             live = position > 0
-            piece = last[line, position]
+            piece = last[position, line]
             odd |= live & (piece < 0)
-            ids[:, n] = piece
-            count += live
-            position = np.where(live, begin[line, position], 0)
             n += 1
-        found = zip(ids.tolist(), count.tolist(), odd.tolist(), words, strict=True)
-        return [self.path(word) if strange else tuple(row[k - 1 :: -1] if k else ()) for row, k, strange, word in found]
+            ids[:, high - n] = np.where(live, np.maximum(piece, 0), -1)
+            position = np.where(live, begin[position, line], 0)
+        used = ids >= 0
+        raw, stop = ids[used].tobytes(), np.cumsum(4 * used.sum(axis=1)).tolist()
+        out = [raw[x:y] for x, y in zip([0, *stop], stop, strict=False)]
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = _packed(self.path(words[k]))
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Piece ids of each text."""
         find, head = re.compile(self.pattern, re.DOTALL).findall, META if self.dummy_prefix else ""
         parts = [find(head + text.replace(" ", META)) if text else [] for text in texts]
         new = set().union(*parts)
-        if len(self.words) + len(new) > _REMEMBERED_WORDS:
-            self.words = {}
-        fresh = list(new.difference(self.words))
+        if len(self.words) > _REMEMBERED_WORDS:  # words seen since the last time stay
+            self.older, self.words = self.words, {}
+        fresh = new.difference(self.words)
+        for word in fresh.intersection(self.older):
+            self.words[word] = self.older[word]
+        fresh = list(fresh.difference(self.older))
         self.words.update(zip(fresh, self.paths(fresh), strict=True))
         ids = self.words.__getitem__
-        return [np.fromiter(chain.from_iterable(map(ids, part)), np.int32) for part in parts]
+        return [np.frombuffer(b"".join(map(ids, part)), np.int32) for part in parts]
+
+
+@dataclass
+class Decoder:
+    """The inverse transducer: what each piece writes."""
+
+    output: list[bytes]
+    dummy_prefix: bool
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece ids; bytes that are no UTF-8 become replacement characters."""
@@ -276,19 +304,16 @@ def compile_model(path: str) -> Transducer:
     return made
 
 
-def share(df: DataFrame, path: str) -> Broadcast:
-    return df.sparkSession.sparkContext.broadcast(compile_model(path))
-
-
-def encode(docs: DataFrame, model: Broadcast) -> DataFrame:
+def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, text and ids (array of int) of each row of `docs`.
 
     Null and empty texts have no ids.  Repeated rows are encoded one by one; columns other than
     doc_id and text are not read.
     """
+    model = docs.sparkSession.sparkContext.broadcast(compile_model(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, limit=_SLICE_BYTES):
             found = model.value.encode([x or "" for x in batch.column("text").to_pylist()])
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
@@ -297,15 +322,18 @@ def encode(docs: DataFrame, model: Broadcast) -> DataFrame:
     return common.map_arrow(docs, ["doc_id", "text"], run, "doc_id bigint, text string, ids array<int>")
 
 
-def decode(encoded: DataFrame, model: Broadcast) -> DataFrame:
-    """The columns of `encode` with `decoded`, the text that the ids give; null ids give an empty text."""
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """The columns of `encoded` and `decoded`, the text of its column `ids`; null ids give an empty text."""
+    made = compile_model(path)
+    shared = encoded.sparkSession.sparkContext.broadcast(Decoder(made.output, made.dummy_prefix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column("ids")
-            ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            texts = [model.value.decode(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
-
-    schema = "doc_id bigint, text string, ids array<int>, decoded string"
-    return common.map_arrow(encoded, ["doc_id", "text", "ids"], run, schema)
+        for whole in batches:
+            for k in range(0, whole.num_rows, _DECODED_ROWS):
+                batch = whole.slice(k, _DECODED_ROWS)
+                ids = [row.values.to_numpy(zero_copy_only=False) if row.is_valid else _NO_IDS for row in batch.column("ids")]
+                texts = pa.array([shared.value.decode(x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
+
+    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
+    return encoded.mapInArrow(run, schema)
