@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import common, decontaminate, licenses, phrases, pieces, pii, quality, simhash, token_counts
+from logwarden.llm import common, decontaminate, licenses, phrases, pieces, pii, quality, simhash, suffixes, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,18 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.deduplicated(common.table(spark, sf_dir, "documents"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    return found.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -79,6 +91,7 @@ QUERIES: dict[str, Query] = {
         "op4_licenses": op4_licenses,
         "op5_pii": op5_pii,
         "op7_token_counts": op7_token_counts,
+        "op8_suffixes": op8_suffixes,
         "op9_simhash": op9_simhash,
         "op10_pieces": op10_pieces,
     }.items()
