@@ -50,22 +50,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_root(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`, or where it is unset a folder of the warehouse, which executors reach too."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    return root.rstrip("/")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below `spark.checkpoint.dir`, which every executor reaches."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return f"{root.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
+    """A new folder that every executor reaches."""
+    return f"{shared_root(spark)}/llm/{purpose}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
     """The same rows from reliable storage, without their lineage."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(root)
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 
@@ -88,9 +88,9 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one byte array, a NUL after each, and where each begins (one more entry at the end)."""
-    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+def joined(texts: list[bytes], after: bytes = b"\0") -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one byte array, one more byte after each, and where each begins (one more entry at the end)."""
+    data = np.frombuffer(after.join(texts) + after, np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     return data, np.concatenate(([0], np.cumsum(sizes)))
 
@@ -137,6 +137,23 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
         return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def pack(arrays: list[np.ndarray]) -> tuple[bytes, int]:
+    """Arrays as one compressed value, and its size before compression."""
+    head = np.array([x.nbytes for x in arrays], np.int64)
+    raw = b"".join(x.tobytes() for x in (head, *arrays))
+    return pa.Codec("zstd").compress(raw, asbytes=True), len(raw)
+
+
+def unpack(blob: bytes, size: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The arrays of `pack`, given their types."""
+    raw = pa.Codec("zstd").decompress(blob, size, asbytes=True)
+    at, out = 8 * len(kinds), []
+    for n, kind in zip(np.frombuffer(raw, np.int64, len(kinds)).tolist(), kinds, strict=True):
+        out.append(np.frombuffer(raw, kind, n // np.dtype(kind).itemsize, at))
+        at += n
+    return out
+
+
 def map_arrow(
     df: DataFrame, columns: list[str], function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

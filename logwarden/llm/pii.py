@@ -335,3 +335,27 @@ def masked(text: str, spans: list[Span]) -> str:
             out += [text[at:a], f"[{kind.upper()}]"]
         at = max(at, b)
     return "".join(out) + text[at:]
+
+
+def masked_documents(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` with every span masked in the text; n_chars, where there is one, counts the new text.
+
+    A text without spans stays as it is, null included, and so does its n_chars.
+    """
+    field = docs.sparkSession.sparkContext.broadcast(train(sample_texts(docs)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            texts = batch.column("text").to_pylist()
+            sizes = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else [None] * len(texts)
+            for k, text in enumerate(texts):
+                if text and (spans := find(text, field.value)[1]):
+                    texts[k] = masked(text, spans)
+                    sizes[k] = len(texts[k])
+            for name, values in (("text", texts), ("n_chars", sizes)):
+                at = batch.schema.get_field_index(name)
+                if at >= 0:
+                    batch = batch.set_column(at, name, pa.array(values, batch.schema.field(at).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import common, decontaminate, licenses, phrases, pieces, pii, quality, simhash, suffixes, token_counts
+from logwarden.llm import common, decontaminate, katz, licenses, phrases, pieces, pii, quality, simhash, suffixes, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(common.table(spark, sf_dir, "documents"))
 
 
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(common.table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -90,6 +94,7 @@ QUERIES: dict[str, Query] = {
         "op3_phrases": op3_phrases,
         "op4_licenses": op4_licenses,
         "op5_pii": op5_pii,
+        "op6_katz": op6_katz,
         "op7_token_counts": op7_token_counts,
         "op8_suffixes": op8_suffixes,
         "op9_simhash": op9_simhash,

@@ -53,14 +53,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp of each row; a null text counts as empty, an empty text has fingerprint 0."""
+    """doc_id, tag (a hash of the text) and fp of each row; a null text counts as empty, an empty text has fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             out = [fingerprint(x, shingle) for x in common.text_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.int64())], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("tag"), pa.array(out, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "fp"])
 
-    return common.map_arrow(docs, ["doc_id", "text"], run, "doc_id bigint, fp bigint")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    return rows.mapInArrow(run, "doc_id bigint, tag bigint, fp bigint")
 
 
 def project(fps: np.ndarray, bits: list[int]) -> np.ndarray:
@@ -232,6 +234,13 @@ def links(fps: DataFrame, distance: int = DISTANCE, sample: int = SAMPLE, bucket
     return found.distinct()
 
 
+def _grouped(marks: DataFrame, distance: int, sample: int, bucket_limit: int) -> DataFrame:
+    """fp and root of each distinct fingerprint; what links connect has one root."""
+    distinct = marks.select("fp").distinct()
+    joined = components(links(distinct, distance, sample, bucket_limit))
+    return distinct.join(joined, distinct.fp == joined.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, sample: int = SAMPLE, bucket_limit: int = BUCKET_LIMIT
 ) -> DataFrame:
@@ -242,11 +251,25 @@ def near_duplicates(
     Columns other than doc_id and text are not read.
     """
     marks = common.cut(fingerprints(docs, shingle))
-    distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    joined = components(links(distinct.select("fp"), distance, sample, bucket_limit))  # node, root
-    rooted = distinct.join(joined, distinct.fp == joined.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    least = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = _grouped(marks, distance, sample, bucket_limit).join(least, "fp")
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(of_root, "root").select("fp", "component_id")
     return marks.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, sample: int = SAMPLE, bucket_limit: int = BUCKET_LIMIT
+) -> DataFrame:
+    """The row of each component with the smallest doc_id, with all columns of `docs`.
+
+    Of rows with one doc_id the smallest hash of the text decides, of equal rows any stays; rows
+    without a doc_id come last.
+    """
+    marks = common.cut(fingerprints(docs, shingle))
+    least = marks.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first"))
+    of_root = _grouped(marks, distance, sample, bucket_limit).join(least, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = of_root.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.tag").alias("_kept_tag"))
+    out = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept_id")) & (F.xxhash64(docs["text"]) == F.col("_kept_tag")), "left_semi")
+    repeated = not marks.groupBy("doc_id", "tag").count().where("count > 1").isEmpty()
+    return out.dropDuplicates(["doc_id", "text"]) if repeated else out

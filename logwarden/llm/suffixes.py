@@ -27,7 +27,6 @@ SHARD_BYTES, ARRAY_BYTES = 12 << 20, 8 << 20
 SAMPLE, FREQUENT = 2000, 0.02
 #: Shards among which the documents of a frequent minimiser are dealt.
 SPREAD = 16
-_CODEC = "zstd"
 
 
 def rolling_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -69,21 +68,6 @@ def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return data[np.repeat(start, size) + offset]
 
 
-def _pack(arrays: list[np.ndarray]) -> bytes:
-    head = np.array([x.nbytes for x in arrays], np.int64)
-    return pa.Codec(_CODEC).compress(b"".join(x.tobytes() for x in (np.array([len(arrays)]), head, *arrays)), asbytes=True)
-
-
-def _unpack(blob: bytes, size: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    raw = pa.Codec(_CODEC).decompress(blob, size, asbytes=True)
-    sizes = np.frombuffer(raw, np.int64, len(kinds), 8).tolist()
-    at, out = 8 + 8 * len(kinds), []
-    for n, kind in zip(sizes, kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, n // np.dtype(kind).itemsize, at))
-        at += n
-    return out
-
-
 #: Of a run in a shard: minimiser, size in bytes, smallest and largest doc_id; its bytes; of a place of a run:
 #: number of the run, doc_id, tag of the text, first start.
 _KINDS = ("<u8", "<i4", "<i8", "<i8", "u1", "<i4", "<i8", "<i4", "<i4")
@@ -128,8 +112,9 @@ def _deal(shards: int, frequent: np.ndarray, length: int) -> object:
                     np.searchsorted(mine, which[places]).astype(np.int32), ids[owner[places]], tags[owner[places]], first[places].astype(np.int32),
                 ]
                 out_shard.append(target)
-                out_blob.append(_pack(arrays))
-                out_size.append(8 + 8 * len(arrays) + sum(x.nbytes for x in arrays))
+                blob, size_before = common.pack(arrays)
+                out_blob.append(blob)
+                out_size.append(size_before)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_shard, pa.int32()), pa.array(out_blob, pa.binary()), pa.array(out_size, pa.int64())], ["shard", "blob", "size"]
             )
@@ -262,7 +247,7 @@ def smallest_owner(data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner:
 
 
 def _resolve(blobs: list[tuple[bytes, int]], length: int) -> pa.RecordBatch:
-    parts = [_unpack(blob, size, _KINDS) for blob, size in blobs]
+    parts = [common.unpack(blob, size, _KINDS) for blob, size in blobs]
     shift = np.cumsum([0, *(len(p[0]) for p in parts)])
     key, size, least, most, data, run, ids, tag, first = (np.concatenate(x) for x in zip(*parts, strict=True))
     run = run + np.repeat(shift[:-1], [len(p[5]) for p in parts])
