@@ -53,10 +53,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("κ"))), F.lit(WORD), 0)
 
 
-def _split(text: str) -> list[str]:
-    return re.findall(WORD, text.lower())
-
-
 def _texts(values: list[str]) -> Column:
     return F.array(*map(F.lit, values))
 
@@ -85,48 +81,63 @@ def word_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (count.get(w, 0), w))
 
 
-def template_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """key (of `row_key`), block, template (its number), label, containment: every pair of a text block
-    of `docs` and a template whose containment reaches the threshold, in any number of rows."""
+def prefix_index(templates: tuple[tuple[str, str], ...], sets: list[list[str]], order: list[str], containment: float) -> list[Column]:
+    """An entry for each word in the prefix of each template: the words of a template in the given order,
+    of which a matching block must hold the first, or the second, and so on up to the last of these."""
+    rank, entries = {w: k for k, w in enumerate(order)}, []
+    for number, ((label, _), members) in enumerate(zip(templates, sets, strict=True)):
+        ranks = sorted(rank[w] for w in members)
+        need = max(1, ceil(containment * len(ranks)))
+        for i, r in enumerate(ranks[: len(ranks) - need + 1]):
+            fields = {"token": r, "i": i, "size": len(ranks), "need": need, "template": number, "label": label}
+            entries.append(F.struct(*(F.lit(v).alias(k) for k, v in fields.items()), F.array(*map(F.lit, ranks)).alias("ranks")))
+    return entries
+
+
+def _probed(docs: DataFrame, templates: tuple[tuple[str, str], ...], containment: float) -> DataFrame:
+    """Each row of `docs` under an id, with its counts and places, once for each candidate pair of one of
+    its blocks and a template (and once if there is none); containment is null for a pair below the threshold."""
     spark = docs.sparkSession
-    sets = [sorted(set(_split(text))) for _, text in templates]
+    sets = [sorted(set(re.findall(WORD, text.lower()))) for _, text in templates]
     vocabulary = sorted(set().union(*sets))
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"the templates have more than {MAX_TEMPLATE_WORDS} distinct words")
     order = word_order(docs, vocabulary)
     rank = {w: k for k, w in enumerate(order)}
-    entries, prefix_words, least = [], set(), min(max(1, ceil(containment * len(s))) for s in sets if s)
-    for number, ((label, _), members) in enumerate(zip(templates, sets, strict=True)):
-        ranks = sorted(rank[w] for w in members)
-        need = max(1, ceil(containment * len(ranks)))
-        for i, r in enumerate(ranks[: len(ranks) - need + 1]):
-            prefix_words.add(order[r])
-            fields = {"token": r, "i": i, "size": len(ranks), "need": need, "template": number}
-            entries.append(F.struct(*(F.lit(v).alias(k) for k, v in fields.items()), F.lit(label).alias("label"), F.array(*map(F.lit, ranks)).alias("ranks")))
-    index = spark.range(1).select(F.inline(F.array(*entries)))
+    needs = [max(1, ceil(containment * len(s))) for s in sets]
+    least = min(needs)
+    prefix_words = {w for s, need in zip(sets, needs, strict=True) for w in sorted(s, key=rank.get)[: len(s) - need + 1]}
+    index = spark.range(1).select(F.inline(F.array(*prefix_index(templates, sets, order, containment))))
     ranked = F.create_map(*(F.lit(x) for w in order for x in (w, rank[w])))
-    texts = docs.select(row_key(), words(F.col("text")).alias("w")).where(F.arrays_overlap("w", _texts(sorted(prefix_words))))
+
+    def known(start: Column) -> Column:
+        """Ranks of the template words of a block, ascending; other words come last in the order and match nothing."""
+        block = F.array_intersect(F.slice("w", start + 1, BLOCK), _texts(vocabulary))
+        return F.array_sort(F.transform(block, lambda x: F.element_at(ranked, x)))
+
+    rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", words(F.col("text")).alias("w"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(STRIDE))
-    blocks = texts.select("key", F.posexplode(F.transform(starts, lambda i: F.slice("w", i + 1, BLOCK))).alias("block", "words"))
-    # Words of no template come last in the order and match nothing; they are left out of the sets.
-    known = F.array_sort(F.transform(F.array_intersect("words", _texts(vocabulary)), lambda x: F.element_at(ranked, x)))
-    held = blocks.select("key", "block", known.alias("v")).where(F.size("v") >= least)
-    probes = held.select("key", "block", "v", F.posexplode(F.slice("v", F.lit(1), F.size("v") - least + 1)).alias("j", "token"))
-    pairs = (
-        probes.join(F.broadcast(index), "token")
-        .where(F.size("v") >= F.col("need"))  # length
-        .where(F.col("j") <= F.size("v") - F.col("need"))  # prefix of the block for this template
-        .where(1 + F.least(F.col("size") - F.col("i") - 1, F.size("v") - F.col("j") - 1) >= F.col("need"))  # position
-    )
-    share = F.size(F.array_intersect("v", "ranks")) / F.col("size")
-    return pairs.withColumn("containment", share).where(F.size(F.array_intersect("v", "ranks")) >= F.col("need")).select(
-        "key", "block", "template", "label", "containment"
+    blocks = F.when(F.arrays_overlap("w", _texts(sorted(prefix_words))), F.transform(starts, known))
+    spots = [places("w", phrase).alias(f"at_{label}") for phrase, label in PHRASES]
+    rows = rows.select("id", "doc_id", F.size("w").cast("bigint").alias("n_words"), *spots, blocks.alias("blocks"))
+    rows = rows.select("*", F.posexplode_outer("blocks").alias("block", "v")).drop("blocks")
+    heads = F.when(F.size("v") >= least, F.slice("v", F.lit(1), F.size("v") - least + 1))
+    probes = rows.select("*", F.posexplode_outer(heads).alias("j", "word"))
+    fits = (
+        (F.col("word") == F.col("token"))
+        & (F.size("v") >= F.col("need"))  # length
+        & (F.col("j") <= F.size("v") - F.col("need"))  # prefix of the block for this template
+        & (1 + F.least(F.col("size") - F.col("i") - 1, F.size("v") - F.col("j") - 1) >= F.col("need"))  # position
     )
+    pairs = probes.join(F.broadcast(index), fits, "left")
+    held = F.size(F.array_intersect("v", "ranks"))
+    return pairs.withColumn("containment", F.when(held >= F.col("need"), held / F.col("size")))
 
 
-def row_key() -> Column:
-    """Rows with equal doc_id and text have equal keys, and equal outcomes."""
-    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("b")).alias("key")
+def template_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+    """doc_id, block (its number), template (its number), label and containment of every match, once for each row of `docs`."""
+    found = _probed(docs.select("doc_id", "text"), templates, containment).where("containment IS NOT NULL")
+    return found.select("id", "doc_id", "block", "template", "label", "containment").distinct().drop("id")
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
@@ -135,25 +146,22 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, co
     n_base counts all places of PHRASES; first_word and last_word are their smallest and largest
     start, null without any.  labels adds the labels of matching templates.  score is the largest
     containment of a matching template, 1 where a phrase stands, else 0.  Null and empty texts have
-    no words; columns other than doc_id and text are not read.
+    no words; repeated rows are scanned one by one; columns other than doc_id and text are not read.
     """
-    docs = docs.select("doc_id", "text")
-    base = docs.select("doc_id", row_key(), words(F.col("text")).alias("w"))
-    spots = [places("w", phrase).alias(f"at_{label}") for phrase, label in PHRASES]
-    base = base.select("doc_id", "key", F.size("w").cast("bigint").alias("n_words"), *spots)
     every = F.concat(*(F.col(f"at_{label}") for _, label in PHRASES))
     named = F.array_compact(F.array(*(F.when(F.size(f"at_{label}") > 0, label) for _, label in PHRASES)))
-    base = base.select(
-        "doc_id", "key", "n_words", F.size(every).cast("bigint").alias("n_base"),
+    probed = _probed(docs.select("doc_id", "text"), templates, containment)
+    rows = probed.select(
+        "id", "doc_id", "n_words", F.size(every).cast("bigint").alias("n_base"),
         F.array_min(every).cast("bigint").alias("first_word"), F.array_max(every).cast("bigint").alias("last_word"),
-        F.array_sort(named).alias("base"),
+        F.array_sort(named).alias("base"), F.when(F.col("containment").isNotNull(), F.col("label")).alias("label"), "containment",
     )
-    found = template_matches(docs, templates, containment).groupBy("key").agg(
-        F.collect_set("label").alias("more"), F.max("containment").alias("best")
+    kept = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base")
+    whole = rows.groupBy("id").agg(
+        *(F.first(c).alias(c) for c in kept), F.collect_set("label").alias("more"), F.max("containment").alias("best")
     )
-    all_labels = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
-    return base.join(found, "key", "left").select(
+    return whole.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
-        F.array_join("base", ",").alias("base_labels"), F.array_join(all_labels, ",").alias("labels"),
+        F.array_join("base", ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union("base", "more")), ",").alias("labels"),
         F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )
