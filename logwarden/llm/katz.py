@@ -28,12 +28,12 @@ from logwarden.llm import common
 #: Pairs with a lower training count are not kept; counts up to DISCOUNTED are discounted.
 LEAST_PAIR, DISCOUNTED = 2, 5
 #: Words broadcast to every task; the others are joined.
-FREQUENT_WORDS = 1 << 18
+FREQUENT_WORDS = 1 << 19
 #: Bytes of text whose pairs make one shard.
-SHARD_TEXT = 20 << 20
+SHARD_TEXT = 28 << 20
 #: Hashes that stand for the beginning and the end of a text.
 BEGIN, END = np.uint64(0xB5297A4D3F84D5B5), np.uint64(0x68E31DA4C2B2AE35)
-_BITS = 19  # of the number of a frequent word, the beginning included
+_BITS = 20  # of the number of a frequent word, the beginning included
 
 
 def held_out() -> Column:
@@ -93,44 +93,60 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return common.cut(counted.groupBy("word").agg(F.sum("count").alias("count")))
 
 
-#: Arrays of a blob: pairs of frequent words (first differences of sorted keys) and their counts or texts;
-#: pairs with another word (both hashes) and their counts or texts; row number and training mark of each text.
-_KINDS = ("<u8", "<i4", "<u8", "<u8", "<i4", "<i8", "?")
+#: Arrays of a blob: pairs of frequent words (first differences of sorted keys) and their counts or texts; pairs of
+#: one other word (first differences of sorted hashes) and a frequent one (its number, twice, plus one where the
+#: other word is the first) and their counts or texts; pairs of two other words (hashes) and their counts or texts;
+#: row number and training mark of each text.
+_KINDS = ("<u8", "<i4", "<u8", "<i4", "<i4", "<u8", "<u8", "<i4", "<i8", "?")
 _SHARD = "shard int, blob binary, size bigint"
 
 
+def _counted(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The distinct rows of the columns, in order, and how often each occurs."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    head = np.flatnonzero(new)
+    return [*(c[head] for c in columns), np.diff(np.append(head, len(order)))]
+
+
 def _dealt(h: np.ndarray, w: np.ndarray, value: np.ndarray | None, words: Words, shards: int, rows: np.ndarray, train: np.ndarray) -> Iterator[tuple]:
-    """Pairs by shard.  `value` is the text of each pair; without it, equal pairs are counted."""
+    """Pairs by shard.  `value` is the text of each pair; without it, equal pairs are counted.
+
+    A pair with a word that is not frequent goes where that word's terms are (the first of two).
+    """
     a, b = words.find(h), words.find(w)
-    usual = (a >= 0) & (b >= 0)
-    key = a[usual].astype(np.uint64) << np.uint64(_BITS) | b[usual].astype(np.uint64)
-    rare_h, rare_w = h[~usual], w[~usual]
-    with np.errstate(over="ignore"):
-        rare_key = common.mix(rare_h * np.uint64(3) + rare_w)
-    if value is None:
-        key, key_value = np.unique(key, return_counts=True)
-        rare_key, at, rare_value = np.unique(rare_key, return_index=True, return_counts=True)
-        rare_h, rare_w = rare_h[at], rare_w[at]
-    else:
-        order = np.lexsort((value[usual], key))
-        key, key_value, rare_value = key[order], value[usual][order], value[~usual]
-    shard, rare_shard = common.mix(key) % np.uint64(shards), rare_key % np.uint64(shards)
-    by, rare_by = np.argsort(shard, kind="stable"), np.argsort(rare_shard, kind="stable")
-    cuts = np.searchsorted(shard[by], np.arange(shards + 1, dtype=np.uint64))
-    rare_cuts = np.searchsorted(rare_shard[rare_by], np.arange(shards + 1, dtype=np.uint64))
+    usual, one, two = (a >= 0) & (b >= 0), (a >= 0) != (b >= 0), (a < 0) & (b < 0)
+    mixed = np.where(a[one] < 0, 2 * b[one] + 1, 2 * a[one]).astype(np.int32)
+    groups = [[a[usual].astype(np.uint64) << np.uint64(_BITS) | b[usual].astype(np.uint64)], [np.where(a[one] < 0, h[one], w[one]), mixed], [h[two], w[two]]]
+    dealt = []
+    for columns, chosen in zip(groups, (usual, one, two), strict=True):
+        if value is None:
+            columns = _counted(columns)
+        else:
+            columns = [*columns, value[chosen]]
+            order = np.lexsort(columns[::-1])
+            columns = [c[order] for c in columns]
+        shard = common.mix(columns[0]) % np.uint64(shards)
+        by = np.argsort(shard, kind="stable")
+        dealt.append((columns, by, np.searchsorted(shard[by], np.arange(shards + 1, dtype=np.uint64))))
     for k in range(shards):
-        mine, rare = by[cuts[k] : cuts[k + 1]], rare_by[rare_cuts[k] : rare_cuts[k + 1]]
-        if len(mine) or len(rare):
-            arrays = [np.diff(key[mine], prepend=np.uint64(0)), key_value[mine].astype(np.int32), rare_h[rare], rare_w[rare], rare_value[rare].astype(np.int32)]
-            yield (k, *common.pack([*arrays, rows, train]))
+        arrays = [[c[by[cuts[k] : cuts[k + 1]]] for c in columns] for columns, by, cuts in dealt]
+        if any(len(x[0]) for x in arrays):
+            (key, n), (word, code, m), (first, second, o) = arrays
+            key, word = np.diff(key, prepend=np.uint64(0)), np.diff(word, prepend=np.uint64(0))
+            yield (k, *common.pack([key, n.astype(np.int32), word, code, m.astype(np.int32), first, second, o.astype(np.int32), rows, train]))
 
 
 def _read(blobs: list[tuple[bytes, int]]) -> list[np.ndarray]:
     """The arrays of all blobs of a shard; texts are numbered through."""
     parts, shift = [], 0
     for blob, size in blobs:
-        key, value, rare_h, rare_w, rare_value, rows, train = common.unpack(blob, size, _KINDS)
-        parts.append((np.cumsum(key), value + shift, rare_h, rare_w, rare_value + shift, rows, train))
+        key, n, word, code, m, first, second, o, rows, train = common.unpack(blob, size, _KINDS)
+        with np.errstate(over="ignore"):
+            parts.append((np.cumsum(key), n + shift, np.cumsum(word), code, m + shift, first, second, o + shift, rows, train))
         shift += len(rows)
     return [np.concatenate(x) for x in zip(*parts, strict=True)]
 
@@ -156,11 +172,14 @@ def _count_pairs(words: Broadcast, shards: int) -> object:
     return run
 
 
-def _totals(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by key, where each key begins in it, and the sum of values of each key."""
-    order = np.argsort(key, kind="stable")
-    head = np.flatnonzero(np.concatenate(([True], key[order[1:]] != key[order[:-1]]))) if len(key) else order
-    return order, head, np.add.reduceat(value[order], head) if len(key) else value
+def _totals(columns: list[np.ndarray], value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by the columns, where each distinct row begins in it, and its sum of values."""
+    order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0], kind="stable")
+    if not len(order):
+        return order, order, np.zeros(0, np.int64)
+    new = np.logical_or.reduce([c[order[1:]] != c[order[:-1]] for c in columns])
+    head = np.flatnonzero(np.concatenate(([True], new)))
+    return order, head, np.add.reduceat(value[order].astype(np.int64), head)
 
 
 _SUMS = [*(f"n{r}" for r in range(1, DISCOUNTED + 2)), "more", "unigram"]
@@ -173,31 +192,41 @@ def _sum_pairs(words: Broadcast, least: int) -> object:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in _by_shard(batches):
-            key, value, rare_h, rare_w, rare_value, _, _ = _read(blobs)
-            known = words.value
-            order, head, total = _totals(key, value)
-            kept = total >= least
-            pair = key[order[head]][kept]
-            a, b = (pair >> np.uint64(_BITS)).astype(np.int64), (pair & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-            with np.errstate(over="ignore"):
-                rare_key = common.mix(rare_h * np.uint64(3) + rare_w)
-            rare_order, rare_head, rare_total = _totals(rare_key, rare_value)
-            rare_kept = rare_total >= least
-            at = rare_order[rare_head][rare_kept]
-            h = np.concatenate((known.hashes[a], rare_h[at]))
-            c = np.concatenate((total[kept], rare_total[rare_kept]))
-            code = known.find(rare_w[at])
-            p = np.concatenate((known.terms["probability"][b], np.where(code >= 0, known.terms["probability"][code], 0.0)))
+            key, n, word, code, m, one, two, o, _, _ = _read(blobs)
+            known, firsts, counts, shares, every = words.value, [], [], [], []
+            lost_first, lost_second = [], []
+            for columns, value in (([key], n), ([word, code], m), ([one, two], o)):
+                order, head, total = _totals(columns, value)
+                every.append(total)
+                kept = total >= least
+                row = [c[order[head]][kept] for c in columns]
+                if len(columns) == 1:
+                    first = known.hashes[(row[0] >> np.uint64(_BITS)).astype(np.int64)]
+                    share = known.terms["probability"][(row[0] & np.uint64((1 << _BITS) - 1)).astype(np.int64)]
+                elif columns[0] is word:
+                    is_first = row[1] % 2 == 1
+                    first = np.where(is_first, row[0], known.hashes[row[1] // 2])
+                    share = np.where(is_first, known.terms["probability"][row[1] // 2], 0.0)
+                    lost_first.append(first[~is_first])
+                    lost_second.append(row[0][~is_first])
+                else:
+                    first, share = row[0], np.zeros(len(row[0]))
+                    lost_first.append(row[0])
+                    lost_second.append(row[1])
+                firsts.append(first)
+                counts.append(total[kept])
+                shares.append(share)
+            h, c, p = np.concatenate(firsts), np.concatenate(counts), np.concatenate(shares)
+            lost, lost_h, every = np.concatenate(lost_second), np.concatenate(lost_first), np.concatenate(every)
             first, back = np.unique(h, return_inverse=True)
             sums = [np.bincount(back, c == r, len(first)) for r in range(1, DISCOUNTED + 2)]
             sums += [np.bincount(back, np.where(c > DISCOUNTED, c, 0), len(first)), np.bincount(back, p, len(first))]
-            lost = rare_w[at][code < 0]
             zeros = [np.zeros(len(lost)) for _ in _SUMS]
-            below = np.array([(np.concatenate((total, rare_total)) == r).sum() for r in range(1, DISCOUNTED + 2)] + [0, 0], float)
+            below = np.array([(every == r).sum() for r in range(1, DISCOUNTED + 2)] + [0, 0], float)
             below[least - 1 :] = 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*first.view(np.int64).tolist(), *rare_h[at][code < 0].view(np.int64).tolist(), None], pa.int64()),
+                    pa.array([*first.view(np.int64).tolist(), *lost_h.view(np.int64).tolist(), None], pa.int64()),
                     pa.array([*[None] * len(first), *lost.view(np.int64).tolist(), None], pa.int64()),
                     *(pa.array(np.concatenate((x, z, [y])).astype(float)) for x, z, y in zip(sums, zeros, below, strict=True)),
                 ],
@@ -262,9 +291,9 @@ def _base(count: np.ndarray, numbers: dict[str, float]) -> np.ndarray:
     return np.log10((count + 1) / (numbers["n"] + 1 * (numbers["v"] + 1)))
 
 
-#: What a row adds to a text: its tokens, known tokens, base and model scores, and for one word (to be joined) the
-#: numbers of times that its base terms, its probability, its weight, and its weight and total count.
-_PARTS = ["tokens", "known", "base", "score", "targets", "probabilities", "weights", "totals"]
+#: What a row adds to a text: its tokens, known tokens, base and model scores, and for one word (to be joined) how
+#: often its base terms and its probability count.
+_PARTS = ["tokens", "known", "base", "score", "targets", "probabilities"]
 _ROW = "row bigint, doc_id bigint, held boolean, word bigint, " + ", ".join(f"{c} double" for c in _PARTS)
 
 
@@ -313,59 +342,94 @@ def _evaluate_words(words: Broadcast, numbers: dict[str, float], shards: int) ->
                 "base": np.bincount(owner, np.where(b >= 0, _base(known.count[b], numbers), 0), n), "score": np.bincount(owner, score, n),
             }
             yield _mixed(_rows(rows, None, batch.column("doc_id"), batch.column("held"), **parts), shards)
-            for chosen, names in ((b < 0, ("targets", "probabilities")), (a < 0, ("weights",))):
-                word, text = (w if "targets" in names else h)[chosen], owner[chosen]
-                order = np.lexsort((text, word))
-                word, text = word[order], text[order]
-                head = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (text[1:] != text[:-1])))) if len(word) else order
-                times = np.diff(np.append(head, len(word)))
-                if len(head):
-                    yield _mixed(_rows(rows[text[head]], word[head], **dict.fromkeys(names, times)), shards)
             for shard, blob, size in _dealt(h, w, owner, known, shards, rows, train_mark):
                 yield _mixed_blob(shard, blob, size)
 
     return run
 
 
-def _evaluate_pairs(words: Broadcast, factor: np.ndarray, least: int) -> object:
-    """Corrections of kept pairs, summed by text; rows of words pass."""
+#: Of a word in a shard: hash, count, and logarithms of probability, weight, and weight times total.
+_WORD_KINDS = ("<u8", "<i8", "<f8", "<f8", "<f8")
+
+
+def _deal_words(words: Broadcast, shards: int) -> object:
+    """Words that are not frequent, with their terms, by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word = batch.column("word").to_numpy().view(np.uint64)
+            columns = [word, batch.column("count").to_numpy()]
+            columns += [np.nan_to_num(batch.column(c).to_numpy(zero_copy_only=False).astype(float)) for c in ("probability", "weight", "both")]
+            shard = np.where(words.value.find(word) < 0, (common.mix(word) % np.uint64(shards)).astype(np.int64), -1)
+            for k in np.unique(shard[shard >= 0]).tolist():
+                blob, size = common.pack([c[shard == k] for c in columns])
+                yield _mixed_blob(k, blob, -size)  # a negative size marks words
+
+    return run
+
+
+def _evaluate_pairs(words: Broadcast, numbers: dict[str, float], factor: np.ndarray, least: int) -> object:
+    """Terms of pairs, summed by text; rows of words pass."""
+    unseen = float(np.log10(numbers["unseen"])) if numbers["unseen"] > 0 else 0.0
 
     def corrected(count: np.ndarray) -> np.ndarray:
-        return np.log10(count * np.where(count <= DISCOUNTED, factor[np.minimum(count, DISCOUNTED)], 1.0))
+        return np.log10(np.maximum(count, 1) * np.where(count <= DISCOUNTED, factor[np.minimum(count, DISCOUNTED)], 1.0))
+
+    def counted(columns: list[np.ndarray], train_mark: np.ndarray) -> np.ndarray:
+        """The training count of each pair, in the order of the arrays."""
+        order, head, total = _totals(columns, train_mark)
+        out = np.zeros(len(order), np.int64)
+        out[order] = np.repeat(total, np.diff(np.append(head, len(order))))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, shards = words.value, {}
+        known, shards, tables = words.value, {}, {}
         for batch in batches:
             plain = batch.filter(batch.column("blob").is_null())
             if plain.num_rows:
                 yield plain.select(["row", "doc_id", "held", "word", *_PARTS])
             packed = batch.filter(batch.column("blob").is_valid())
             for shard, blob, size in zip(*(packed.column(c).to_pylist() for c in ("shard", "blob", "size")), strict=True):
-                shards.setdefault(shard, []).append((blob, size))
+                (shards if size > 0 else tables).setdefault(shard, []).append((blob, abs(size)))
         while shards:
-            blobs = shards.popitem()[1]
-            key, text, rare_h, rare_w, rare_text, rows, train_mark = _read(blobs)
-            order, head, total = _totals(key, train_mark[text].astype(np.int64))
-            size = np.diff(np.append(head, len(key)))
-            kept = np.repeat(total >= least, size)
-            at, count = order[kept], np.repeat(total, size)[kept]
+            shard, blobs = shards.popitem()
+            key, text, word, code, word_text, one, two, both_text, rows, train_mark = _read(blobs)
+            blobs.clear()
+            parts = [common.unpack(blob, size, _WORD_KINDS) for blob, size in tables.pop(shard, [])]
+            table = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, k) for k in _WORD_KINDS]
+            order = np.argsort(table[0])
+            table = [x[order] for x in table]
+
+            def place(word: np.ndarray, hashes: np.ndarray = table[0]) -> tuple[np.ndarray, np.ndarray]:
+                at = np.minimum(np.searchsorted(hashes, word), max(len(hashes) - 1, 0))
+                there = hashes[at] == word if len(hashes) else np.zeros(len(word), bool)
+                return np.where(there, at, len(hashes)), there
+
+            count, probability, weight, total = (np.append(x, v) for x, v in zip((table[1], table[2], table[3], table[4] - table[3]), (0, unseen, 0.0, 0.0), strict=True))
+            score, base, seen = np.zeros(len(rows)), np.zeros(len(rows)), np.zeros(len(rows))
+
+            times = counted([key], train_mark[text])
+            at, times = np.flatnonzero(times >= least), times[times >= least]
             a, b = (key[at] >> np.uint64(_BITS)).astype(np.int64), (key[at] & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-            value = corrected(count) - known.terms["both"][a] - known.terms["probability"][b]
-            score = np.bincount(text[at], value, len(rows))
-            with np.errstate(over="ignore"):
-                rare_key = common.mix(rare_h * np.uint64(3) + rare_w)
-            order, head, total = _totals(rare_key, train_mark[rare_text].astype(np.int64))
-            size = np.diff(np.append(head, len(rare_key)))
-            kept = np.repeat(total >= least, size)
-            at, count = order[kept], np.repeat(total, size)[kept]
-            a, b = known.find(rare_h[at]), known.find(rare_w[at])
-            value = corrected(count) - np.where(a >= 0, known.terms["both"][a], 0) - np.where(b >= 0, known.terms["probability"][b], 0)
-            score += np.bincount(rare_text[at], value, len(rows))
-            some = np.flatnonzero(score)
-            yield _rows(rows[some], None, score=score[some])
-            for chosen, word, name in ((a < 0, rare_h[at], "totals"), (b < 0, rare_w[at], "probabilities")):
-                if chosen.any():
-                    yield _rows(rows[rare_text[at][chosen]], word[chosen], **{name: np.full(int(chosen.sum()), -1.0)})
+            score += np.bincount(text[at], corrected(times) - known.terms["both"][a] - known.terms["probability"][b], len(rows))
+
+            times = counted([word, code], train_mark[word_text])
+            at, there = place(word)
+            kept, is_first, other = times >= least, code % 2 == 1, code // 2
+            as_first = np.where(kept, corrected(times) - known.terms["probability"][other] - total[at], weight[at])
+            as_second = np.where(kept, corrected(times) - known.terms["both"][other], probability[at])
+            score += np.bincount(word_text, np.where(is_first, as_first, as_second), len(rows))
+            seen += np.bincount(word_text, ~is_first & there, len(rows))
+            base += np.bincount(word_text, np.where(is_first, 0.0, _base(count[at], numbers)), len(rows))
+
+            times = counted([one, two], train_mark[both_text])
+            at, _ = place(one)
+            kept = times >= least
+            score += np.bincount(both_text, np.where(kept, corrected(times) - total[at], weight[at]), len(rows))
+            if len(two):
+                yield _rows(rows[both_text], two, targets=np.ones(len(two)), probabilities=~kept)
+            some = np.flatnonzero((score != 0) | (base != 0))
+            yield _rows(rows[some], None, score=score[some], base=base[some], known=seen[some])
 
     return run
 
@@ -391,17 +455,17 @@ def score_documents(docs: DataFrame, frequent: int = FREQUENT_WORDS, least: int
         hashes, terms, top["count"], order = np.array([BEGIN]), {c: np.zeros(1) for c in terms}, np.zeros(1), np.array([0])
     words = docs.sparkSession.sparkContext.broadcast(Words(hashes, top["count"][order], terms))
     marked = rows.withColumn("row", F.monotonically_increasing_id())
-    dealt = marked.mapInArrow(_evaluate_words(words, numbers, shards), "shard int, blob binary, size bigint, " + _ROW)
-    parts = dealt.repartition(shards, "shard").mapInArrow(_evaluate_pairs(words, factor, least), _ROW)
+    mixed = _SHARD + ", " + _ROW
+    dealt = marked.mapInArrow(_evaluate_words(words, numbers, shards), mixed).union(logs.mapInArrow(_deal_words(words, shards), mixed))
+    parts = dealt.repartition(shards, "shard").mapInArrow(_evaluate_pairs(words, numbers, factor, least), _ROW)
     # Rows without a word get a key of their own, so that no task receives them all.
     named = parts.withColumn("key", F.coalesce("word", F.xxhash64("row")))
-    looked_up = logs.withColumnsRenamed({"word": "key", "count": "c", "probability": "p", "weight": "b", "both": "t"})
+    looked_up = logs.select(F.col("word").alias("key"), F.col("count").alias("c"), F.col("probability").alias("p"))
     joined = named.join(looked_up, "key", "left")
     there = F.col("word").isNotNull() & F.col("c").isNotNull()
     unseen = float(np.log10(numbers["unseen"])) if numbers["unseen"] > 0 else 0.0
     base = F.log10((F.when(there, F.col("c")).otherwise(0) + 1) / F.lit(float(numbers["n"] + 1 * (numbers["v"] + 1))))
     score = F.col("probabilities") * F.when(there, F.coalesce("p", F.lit(0.0))).otherwise(unseen)
-    score = score + F.when(there, F.col("weights") * F.coalesce("b", F.lit(0.0)) + F.col("totals") * F.coalesce("t", F.lit(0.0))).otherwise(0.0)
     summed = joined.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"),
         F.max("held").alias("held_out"),
