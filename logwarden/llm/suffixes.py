@@ -21,8 +21,10 @@ from logwarden.llm import common
 
 LENGTH = 50
 _MINIMISER = 16
-#: Bytes of runs in a shard, and of distinct runs in one suffix array.
-SHARD_BYTES, ARRAY_BYTES = 12 << 20, 8 << 20
+#: Bytes of text for a shard of runs (of which most are dropped before), and of distinct runs in one suffix array.
+SHARD_BYTES, ARRAY_BYTES = 5 << 20, 3 << 20
+#: Bytes of text for a partition of texts, and for a shard of minimisers.
+TEXT_BYTES, KEY_BYTES = 12 << 20, 24 << 20
 #: Documents in which frequent minimisers are looked for, and the share of them that makes one frequent.
 SAMPLE, FREQUENT = 2000, 0.02
 #: Shards among which the documents of a frequent minimiser are dealt.
@@ -68,17 +70,103 @@ def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return data[np.repeat(start, size) + offset]
 
 
-#: Of a run in a shard: minimiser, size in bytes, smallest and largest doc_id; its bytes; of a place of a run:
-#: number of the run, doc_id, tag of the text, first start.
+#: Of a place of a minimiser in a shard: difference to the one before it, number of the text and of the run in it;
+#: of a text: doc_id and tag.
+_KEY_KINDS = ("<u8", "<i4", "<i4", "<i8", "<i4")
+#: Of a run in a shard: minimiser, size in bytes, smallest doc_id and how much larger the largest is; its bytes; of a
+#: place of a run: number of the run, doc_id above its smallest, tag of the text, first start.
 _KINDS = ("<u8", "<i4", "<i8", "<i8", "u1", "<i4", "<i8", "<i4", "<i4")
+_SHARD = "shard int, blob binary, size bigint"
+#: Minimisers are compared by their upper bits where they only show that several documents may share a string.
+_SHORT = np.uint64(24)
+
+
+def _blobs(found: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+    shard, blob, size = zip(*found, strict=True) if found else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(blob, pa.binary()), pa.array(size, pa.int64())], ["shard", "blob", "size"])
+
+
+def _texts(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, tags, joined bytes and where each text begins; a text without a doc_id counts as empty."""
+    ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+    none = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+    texts = [b"" if skip else text for text, skip in zip(common.text_bytes(batch.column("text")), none, strict=True)]
+    return np.where(none, 0, np.nan_to_num(ids)).astype(np.int64), batch.column("tag").to_numpy(zero_copy_only=False), *common.joined(texts)
+
+
+def _numbered(owner: np.ndarray) -> np.ndarray:
+    """The number of each run in its text."""
+    head = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
+    return np.arange(len(owner)) - np.repeat(head, np.diff(np.append(head, len(owner))))
+
+
+def _keys(shards: int, frequent: np.ndarray, length: int) -> object:
+    """Minimisers by shard; frequent ones are known to have several documents and stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            ids, tags, data, begins = _texts(batch, length)
+            key, owner, _, _ = runs(data, begins, length)
+            number, rare, found = _numbered(owner), ~np.isin(key, frequent), []
+            key, owner, number = key[rare] >> _SHORT, owner[rare], number[rare]
+            order = np.argsort(key, kind="stable")
+            key, owner, number = key[order], owner[order], number[order]
+            shard = (common.mix(key) % np.uint64(shards)).astype(np.int64)
+            by = np.argsort(shard, kind="stable")
+            cuts = np.searchsorted(shard[by], np.arange(shards + 1))
+            for k in range(shards):
+                mine = by[cuts[k] : cuts[k + 1]]
+                if len(mine):
+                    texts, slot = np.unique(owner[mine], return_inverse=True)
+                    arrays = [np.diff(key[mine], prepend=np.uint64(0)), slot.astype(np.int32), number[mine].astype(np.int32), ids[texts], tags[texts]]
+                    found.append((k, *common.pack(arrays)))
+            yield _blobs(found)
+
+    return run
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, int]]]:
+    shards: dict[int, list[tuple[bytes, int]]] = {}
+    for batch in batches:
+        for shard, blob, size in zip(*(batch.column(c).to_pylist() for c in ("shard", "blob", "size")), strict=True):
+            shards.setdefault(shard, []).append((blob, size))
+    while shards:
+        yield shards.popitem()[1]
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text the numbers of runs whose minimiser several documents have."""
+    for blobs in _by_shard(batches):
+        parts, shift = [], 0
+        for blob, size in blobs:
+            key, slot, number, ids, tags = common.unpack(blob, size, _KEY_KINDS)
+            parts.append((np.cumsum(key), slot + shift, number, ids, tags))
+            shift += len(ids)
+        key, slot, number, ids, tags = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(key, kind="stable")
+        head = np.flatnonzero(np.concatenate(([True], key[order[1:]] != key[order[:-1]])))
+        of = ids[slot[order]]
+        several = np.minimum.reduceat(of, head) < np.maximum.reduceat(of, head)
+        chosen = order[np.repeat(several, np.diff(np.append(head, len(order))))]
+        chosen = chosen[np.argsort(slot[chosen], kind="stable")]
+        texts, first = np.unique(slot[chosen], return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(chosen)).astype(np.int32)), pa.array(number[chosen]))
+        yield pa.RecordBatch.from_arrays([pa.array(ids[texts]), pa.array(tags[texts]), lists], ["id", "mark", "numbers"])
 
 
 def _deal(shards: int, frequent: np.ndarray, length: int) -> object:
+    """The chosen runs, with their bytes, by shard."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(common.slices(batches)):
-            ids, tags = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("tag").to_numpy(zero_copy_only=False)
-            data, begins = common.joined(common.text_bytes(batch.column("text")))
+        for turn, batch in enumerate(common.slices(batches)):
+            ids, tags, data, begins = _texts(batch, length)
             key, owner, first, count = runs(data, begins, length)
+            often, lists = np.isin(key, frequent), batch.column("numbers")
+            chosen, begin = often.copy(), np.searchsorted(owner, np.arange(batch.num_rows))
+            sizes = np.diff(lists.offsets.to_numpy())
+            numbers = lists.flatten().to_numpy(zero_copy_only=False)
+            chosen[np.repeat(begin, np.where(lists.is_valid().to_numpy(zero_copy_only=False), sizes, 0)) + numbers] = True
+            key, owner, first, count = key[chosen], owner[chosen], first[chosen], count[chosen]
             if not len(key):
                 continue
             size = count + length - 1
@@ -91,9 +179,8 @@ def _deal(shards: int, frequent: np.ndarray, length: int) -> object:
             shard = (common.mix(key) % np.uint64(shards)).astype(np.int64)
             often = np.isin(key, frequent)
             # A frequent run is known to all shards of its spread; its places go to one of them.
-            turn = (int(ids[0]) + number) % SPREAD
             copies = np.where(often, min(SPREAD, shards), 1)
-            place_shard = np.where(often, (shard + turn % copies) % shards, shard)
+            place_shard = np.where(often, (shard + (int(ids[0]) + turn) % copies) % shards, shard)
             run_copies = copies[at]
             run_of = np.repeat(np.arange(len(at)), run_copies)
             run_shard = (np.repeat(shard[at], run_copies) + np.arange(len(run_of)) - np.repeat(np.cumsum(run_copies) - run_copies, run_copies)) % shards
@@ -102,22 +189,18 @@ def _deal(shards: int, frequent: np.ndarray, length: int) -> object:
             targets = np.unique(run_shard)
             r = np.searchsorted(run_shard, np.append(targets, shards))
             p = np.searchsorted(place_shard, np.append(targets, shards))
-            out_shard, out_blob, out_size = [], [], []
+            found = []
             for k, target in enumerate(targets.tolist()):
                 mine, places = run_of[r[k] : r[k + 1]], by_place[p[k] : p[k + 1]]
                 source = at[mine]
                 arrays = [
-                    key[source], size[source].astype(np.int32), least[mine], most[mine],
+                    key[source], size[source].astype(np.int32), least[mine], most[mine] - least[mine],
                     gathered(data, begins[owner[source]] + first[source], size[source]),
-                    np.searchsorted(mine, which[places]).astype(np.int32), ids[owner[places]], tags[owner[places]], first[places].astype(np.int32),
+                    np.searchsorted(mine, which[places]).astype(np.int32), ids[owner[places]] - least[which[places]],
+                    tags[owner[places]], first[places].astype(np.int32),
                 ]
-                out_shard.append(target)
-                blob, size_before = common.pack(arrays)
-                out_blob.append(blob)
-                out_size.append(size_before)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out_shard, pa.int32()), pa.array(out_blob, pa.binary()), pa.array(out_size, pa.int64())], ["shard", "blob", "size"]
-            )
+                found.append((target, *common.pack(arrays)))
+            yield _blobs(found)
 
     return run
 
@@ -135,7 +218,7 @@ class SuffixArray:
         mine = np.zeros(len(data), bool)
         mine[starts] = True
         order = self._refined(len(data))
-        self.order = order[mine[order]]
+        self.order = order[mine[order]].astype(np.int64)
         self.begin, self.count = begin, size - length + 1
         same = self._common_prefixes() >= length
         self.group = np.cumsum(~same) - 1  # along the order
@@ -144,12 +227,12 @@ class SuffixArray:
     def _refined(self, n: int) -> np.ndarray:
         """Larsson-Sadakane: positions sorted by eight bytes, then groups that are still open by the rank of what follows."""
         words = self.words[:n]
-        order = np.argsort(words, kind="stable")
-        slot = np.arange(n)
-        first = np.concatenate(([True], words[order[1:]] != words[order[:-1]])) if n else np.zeros(0, bool)
+        order = np.argsort(words, kind="stable").astype(np.int32)
+        slot, ranked = np.arange(n, dtype=np.int32), words[order]
+        first = np.concatenate(([True], ranked[1:] != ranked[:-1])) if n else np.zeros(0, bool)
+        del ranked
         head = np.maximum.accumulate(np.where(first, slot, 0))
-        rank = np.empty(n + self.length, np.int64)
-        rank[n:] = -1
+        rank = np.full(n + self.length, -1, np.int32)
         rank[order] = head
         depth = 8
         while depth < self.length:
@@ -185,14 +268,15 @@ class SuffixArray:
             shifted = rank[left_before[:lanes] + 1]
             sound = (left_before[:lanes] >= 0) & (shifted >= 0) & (shifted < mine)
             size = np.where(sound, np.maximum(known[:lanes] - 1, 0), 0)
-            live = np.flatnonzero(other >= 0)
+            live = np.flatnonzero((other >= 0) & (size < self.length))
             while len(live):
                 differs = self.words[at[live] + size[live]] ^ self.words[other[live] + size[live]]
                 for bits in range(0, 64, 8):  # leading bytes that agree
                     size[live] += differs < np.uint64(1 << bits)
                 live = live[(differs == 0) & (size[live] < self.length)]
-            out[mine] = np.minimum(size, self.length)
-            known[:lanes], left_before[:lanes] = size, other
+            size = np.minimum(size, self.length)
+            out[mine] = known[:lanes] = size
+            left_before[:lanes] = other
         return out
 
     def find(self, words: list[np.ndarray]) -> np.ndarray:
@@ -251,6 +335,7 @@ def _resolve(blobs: list[tuple[bytes, int]], length: int) -> pa.RecordBatch:
     shift = np.cumsum([0, *(len(p[0]) for p in parts)])
     key, size, least, most, data, run, ids, tag, first = (np.concatenate(x) for x in zip(*parts, strict=True))
     run = run + np.repeat(shift[:-1], [len(p[5]) for p in parts])
+    most, ids = least + most, ids + least[run]
     begin = np.cumsum(size, dtype=np.int64) - size
     # Only minimisers of several documents can belong to a repeated string.
     order = np.argsort(key, kind="stable")
@@ -289,19 +374,15 @@ def _resolve(blobs: list[tuple[bytes, int]], length: int) -> pa.RecordBatch:
 
 def _match(length: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards: dict[int, list[tuple[bytes, int]]] = {}
-        for batch in batches:
-            for shard, blob, size in zip(*(batch.column(c).to_pylist() for c in ("shard", "blob", "size")), strict=True):
-                shards.setdefault(shard, []).append((blob, size))
-        while shards:
-            yield _resolve(shards.popitem()[1], length)
+        for blobs in _by_shard(batches):
+            yield _resolve(blobs, length)
 
     return run
 
 
 def _tag() -> Column:
     """Tells rows of one doc_id with different texts apart."""
-    return F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
 def _frequent(rows: DataFrame, length: int, sample: int) -> np.ndarray:
@@ -317,27 +398,35 @@ def _frequent(rows: DataFrame, length: int, sample: int) -> np.ndarray:
     return np.array([r.key for r in counted.select("key").collect()], np.int64).view(np.uint64)
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, sample: int = SAMPLE) -> DataFrame:
-    """id (doc_id), mark (of the text), and spans a to b of bytes that are covered by a string of `length`
-    bytes that also starts in a document with a smaller doc_id; spans may overlap."""
-    rows = docs.where("doc_id IS NOT NULL").where(F.octet_length("text") >= length).select("doc_id", _tag().alias("tag"), "text")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, int(3.6 * total) // shard_bytes)  # a run has some 3.6 times the bytes of its starts
-    frequent = _frequent(rows, length, sample)
-    dealt = rows.mapInArrow(_deal(shards, frequent, length), "shard int, blob binary, size bigint")
-    return dealt.repartition(shards, "shard").mapInArrow(_match(length), "id bigint, mark int, a int, b int")
+def _removed_spans(texts: DataFrame, total: int, length: int, shard_bytes: int, sample: int) -> DataFrame:
+    """id (doc_id), mark (of the text), and spans a to b of bytes to remove, which may overlap, from the partitioned texts."""
+    frequent = _frequent(texts.where("doc_id IS NOT NULL").where(F.octet_length("text") >= length), length, sample)
+    key_shards = max(1, total // KEY_BYTES)
+    keys = texts.mapInArrow(_keys(key_shards, frequent, length), _SHARD).repartition(key_shards, "shard")
+    shared = keys.mapInArrow(_shared, "id bigint, mark int, numbers array<int>")
+    numbers = shared.groupBy("id", "mark").agg(F.flatten(F.collect_list("numbers")).alias("numbers"))
+    chosen = texts.join(numbers, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "tag", "text", "numbers")
+    shards = max(1, total // shard_bytes)
+    dealt = chosen.mapInArrow(_deal(shards, frequent, length), _SHARD).repartition(shards, "shard")
+    return dealt.mapInArrow(_match(length), "id bigint, mark int, a int, b int")
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, sample: int = SAMPLE) -> DataFrame:
     """doc_id, text, spans (array of struct a, b: maximal removed runs of bytes) and kept (binary, the bytes left) of each row.
 
-    Null and empty texts keep nothing and lose nothing; a row without a doc_id has no order and
-    loses nothing, nor do others because of it.  Rows of one doc_id count as one document: none
-    loses anything because of another.  Columns other than doc_id and text are not read.
+    A byte goes if a string of `length` bytes covers it that also starts in a document with a
+    smaller doc_id.  Null and empty texts keep nothing and lose nothing; a row without a doc_id has
+    no order and loses nothing, nor do others because of it.  Rows of one doc_id count as one
+    document: none loses anything because of another.  Columns other than doc_id and text are not read.
+
+    The texts are partitioned once; the steps that need them join what they need to that partitioning.
     """
-    found = removed_spans(docs, length, shard_bytes, sample).groupBy("id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("raw"))
-    rows = docs.select("doc_id", "text", _tag().alias("tag"))
-    joined = rows.join(found, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "text", "raw")
+    rows = docs.select("doc_id", _tag().alias("tag"), "text")
+    total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    texts = rows.repartition(total // TEXT_BYTES + 1, "doc_id", "tag")
+    found = _removed_spans(texts, total, length, shard_bytes, sample)
+    found = found.groupBy("id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("raw"))
+    joined = texts.join(found, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "text", "raw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
