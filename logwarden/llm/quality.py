@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from logwarden.llm import common
 
 #: Rows of the labelled sample and of the unlabelled pool; counts and statistics below come from these alone.
-LABELLED, POOL = 3000, 3000
+LABELLED, POOL = 2000, 2000
 ROUNDS = 3
 #: Share of the pool that a view labels in a round, and how sure it must be.
 SHARE, SURE = 0.1, 0.9
 #: Documents with a lower score are rejected.
 THRESHOLD = 0.5
 #: Hashed content features.
-_SLOTS = 1 << 15
+_SLOTS = 1 << 14
 _NAMED = 64  # slots for source and language
 _META = _NAMED + 14
 #: Fixed value: characters counted as symbols in the layout.
@@ -181,8 +181,8 @@ def _sampled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("label"),
-                pa.ListArray.from_arrays(pa.array(begin), pa.array((key & 0xFFFFFFFF).astype(np.int32))),
-                pa.ListArray.from_arrays(pa.array(begin), pa.array(count.astype(np.int32))),
+                pa.ListArray.from_arrays(pa.array(begin), pa.array((key & 0xFFFFFFFF).astype(np.int16))),
+                pa.ListArray.from_arrays(pa.array(begin), pa.array(np.minimum(count, 32767).astype(np.int16))),
                 pa.array(list(page), pa.list_(pa.float64())),
             ],
             ["label", "slot", "count", "page"],
@@ -211,14 +211,14 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     rows = docs.select("doc_id", "text", "source", "lang").where(F.col("doc_id").isin(list(numbers)))
     rows = rows.withColumn("label", F.element_at(F.lit(list(values)), place.cast("int")).cast("int"))
     got = rows.select("text", "source", "lang", "label").mapInArrow(
-        _sampled_features, "label int, slot array<int>, count array<int>, page array<double>"
+        _sampled_features, "label int, slot array<smallint>, count array<smallint>, page array<double>"
     ).limit(4 * (labelled + pool)).toArrow().combine_chunks()
     if not got.num_rows:
         return Model(False)
     slot, count = got["slot"].combine_chunks(), got["count"].combine_chunks()
     label = got["label"].to_numpy().astype(np.int64)
-    page = np.array(got["page"].to_pylist())
-    bag = Bag(slot.values.to_numpy(), count.values.to_numpy().astype(float), slot.offsets.to_numpy().astype(np.int64))
+    page = got["page"].combine_chunks().flatten().to_numpy().reshape(len(label), _META)
+    bag = Bag(slot.values.to_numpy(), count.values.to_numpy(), slot.offsets.to_numpy().astype(np.int64))
     # The order in which tasks return rows must not matter.
     order = np.lexsort((*page.T[:8], bag.score(np.arange(_SLOTS) % 97 + 1.0), label))
     sizes = np.diff(bag.begin)[order]
