@@ -296,8 +296,11 @@ def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
 
 def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[str]:
     """A bounded sample of whole texts in which the patterns may have matches, chosen by hash."""
-    some = docs.select("text").where(F.col("text").rlike("[0-9@]"))
-    return [r.text for r in some.orderBy(F.xxhash64("text"), "text").limit(rows).collect()]
+    some = docs.select("text", F.xxhash64("text").alias("h")).where(F.col("text").rlike("[0-9@]"))
+    # A share of the hashes with about twice the rows, so that tasks do not each send that many texts.
+    share = 2 * rows / max(some.count(), 1)
+    few = some.where(F.col("h") <= min(int((share - 0.5) * 2**64), 2**63 - 1)) if share < 1 else some
+    return [r.text for r in few.orderBy("h", "text").limit(rows).collect()]
 
 
 def _joined(spans: list[Span]) -> str:
