@@ -2,8 +2,8 @@
 
 Every 50-byte string is dealt to a shard by its minimiser, the smallest hash among its 16-byte
 substrings, which depends on the string alone; neighbouring strings with one minimiser travel as
-one run of bytes.  So all places of a string meet in one shard.  A shard drops what only one
-document has, builds suffix arrays of the distinct runs (Larsson-Sadakane refinement), finds equal
+one run of bytes.  So all places of a string meet in one shard.  Only runs with a context (a
+minimiser and half of the rest of a string) that several documents have are dealt.  A shard builds suffix arrays of the distinct runs (Larsson-Sadakane refinement), finds equal
 strings by Kasai's common prefixes, and merges its arrays by binary search.  The smallest doc_id
 of each string decides what is removed from which document.
 """
@@ -48,12 +48,19 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - (width - done)], out[width - done :]) if done < width else out
 
 
-def runs(data: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Minimiser, text, first start and number of starts of each run of neighbouring strings."""
-    empty = np.empty(0, np.int64)
+def hashed(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the short substrings, and the smallest in the string from each position on."""
     if len(data) < length:
-        return empty.astype(np.uint64), empty, empty, empty
-    least = sliding_minimum(rolling_hashes(data, _MINIMISER), length - _MINIMISER + 1)
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    hashes = rolling_hashes(data, _MINIMISER)
+    return hashes, sliding_minimum(hashes, length - _MINIMISER + 1)
+
+
+def runs(least: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Minimiser, text, first start and number of starts of each run of neighbouring strings."""
+    if not len(least):
+        empty = np.empty(0, np.int64)
+        return least, empty, empty, empty
     owner = np.repeat(np.arange(len(begins) - 1), np.diff(begins))[: len(least)]
     inside = np.arange(len(least)) + length < begins[owner + 1]  # a NUL ends each text
     head = inside.copy()
@@ -64,20 +71,48 @@ def runs(data: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.ndarray,
     return least[start], owner[start], start - begins[owner[start]], count
 
 
+def contexts(hashes: np.ndarray, least: np.ndarray, key: np.ndarray, start: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs, and hashes of a minimiser with half of what a string may have beside it, to the left or to the right.
+
+    A string holds one of the two whole, wherever its minimiser stands.  So runs of two documents
+    have a string in common only if they have one of these hashes in common.
+    """
+    width, half = length - _MINIMISER + 1, (length - _MINIMISER) // 2
+    if not len(key):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    edge = np.zeros(width - 1, np.uint64)
+    # The minimum of the complements is the complement of the maximum.
+    minimisers = np.flatnonzero(~sliding_minimum(~np.concatenate((edge, least, edge)), width) == hashes)
+    low = np.searchsorted(minimisers, start)
+    many = np.searchsorted(minimisers, start + count + width - 1) - low
+    run, at = np.repeat(np.arange(len(key)), many), gathered(minimisers, low, many)
+    own = hashes[at] == key[run]
+    run, at = run[own], at[own]
+    left, right = at - half >= start[run], at + _MINIMISER + half <= start[run] + count[run] + length - 1
+    found = []
+    with np.errstate(over="ignore"):
+        for side, steps in ((left, [0, *range(-half, 0, _MINIMISER)]), (right, [0, *range(half, 0, -_MINIMISER)])):
+            mixed = np.full(int(side.sum()), 1 + (side is right), np.uint64)
+            for step in steps:
+                mixed = common.mix(mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[at[side] + step])
+            found.append(mixed)
+    return np.concatenate((run[left], run[right])), np.concatenate(found)
+
+
 def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The given pieces of data, one after another."""
     offset = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     return data[np.repeat(start, size) + offset]
 
 
-#: Of a place of a minimiser in a shard: difference to the one before it, number of the text and of the run in it;
+#: Of a place of a context in a shard: difference to the one before it, number of the text and of the run in it;
 #: of a text: doc_id and tag.
 _KEY_KINDS = ("<u8", "<i4", "<i4", "<i8", "<i4")
 #: Of a run in a shard: minimiser, size in bytes, smallest doc_id and how much larger the largest is; its bytes; of a
 #: place of a run: number of the run, doc_id above its smallest, tag of the text, first start.
 _KINDS = ("<u8", "<i4", "<i8", "<i8", "u1", "<i4", "<i8", "<i4", "<i4")
 _SHARD = "shard int, blob binary, size bigint"
-#: Minimisers are compared by their upper bits where they only show that several documents may share a string.
+#: Contexts are compared by their upper bits, as they only show that several documents may share a string.
 _SHORT = np.uint64(24)
 
 
@@ -101,14 +136,16 @@ def _numbered(owner: np.ndarray) -> np.ndarray:
 
 
 def _keys(shards: int, frequent: np.ndarray, length: int) -> object:
-    """Minimisers by shard; frequent ones are known to have several documents and stay."""
+    """Contexts by shard; frequent ones are known to have several documents and stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             ids, tags, data, begins = _texts(batch, length)
-            key, owner, _, _ = runs(data, begins, length)
-            number, rare, found = _numbered(owner), ~np.isin(key, frequent), []
-            key, owner, number = key[rare] >> _SHORT, owner[rare], number[rare]
+            hashes, least = hashed(data, length)
+            key, owner, first, count = runs(least, begins, length)
+            of, context = contexts(hashes, least, key, begins[owner] + first, count, length)
+            rare, found = ~np.isin(context, frequent), []
+            key, owner, number = context[rare] >> _SHORT, owner[of[rare]], _numbered(owner)[of[rare]]
             order = np.argsort(key, kind="stable")
             key, owner, number = key[order], owner[order], number[order]
             shard = (common.mix(key) % np.uint64(shards)).astype(np.int64)
@@ -135,7 +172,7 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, i
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text the numbers of runs whose minimiser several documents have."""
+    """Per text the numbers of runs with a context that several documents have."""
     for blobs in _by_shard(batches):
         parts, shift = [], 0
         for blob, size in blobs:
@@ -154,15 +191,19 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids[texts]), pa.array(tags[texts]), lists], ["id", "mark", "numbers"])
 
 
-def _deal(shards: int, frequent: np.ndarray, length: int) -> object:
+def _deal(shards: int, frequent: np.ndarray, frequent_contexts: np.ndarray, length: int) -> object:
     """The chosen runs, with their bytes, by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for turn, batch in enumerate(common.slices(batches)):
             ids, tags, data, begins = _texts(batch, length)
-            key, owner, first, count = runs(data, begins, length)
-            often, lists = np.isin(key, frequent), batch.column("numbers")
-            chosen, begin = often.copy(), np.searchsorted(owner, np.arange(batch.num_rows))
+            hashes, least = hashed(data, length)
+            key, owner, first, count = runs(least, begins, length)
+            chosen, lists = np.zeros(len(key), bool), batch.column("numbers")
+            if len(frequent_contexts):
+                of, context = contexts(hashes, least, key, begins[owner] + first, count, length)
+                chosen[of[np.isin(context, frequent_contexts)]] = True
+            begin = np.searchsorted(owner, np.arange(batch.num_rows))
             sizes = np.diff(lists.offsets.to_numpy())
             numbers = lists.flatten().to_numpy(zero_copy_only=False)
             chosen[np.repeat(begin, np.where(lists.is_valid().to_numpy(zero_copy_only=False), sizes, 0)) + numbers] = True
@@ -385,29 +426,36 @@ def _tag() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
 
 
-def _frequent(rows: DataFrame, length: int, sample: int) -> np.ndarray:
+def _frequent(rows: DataFrame, length: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimisers and contexts of many of the sampled documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             data, begins = common.joined(common.text_bytes(batch.column("text")))
-            key, owner, _, _ = runs(data, begins, length)
-            pairs = np.unique(np.stack((key.view(np.int64), owner)), axis=1)[0] if len(key) else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs)], ["key"])
+            hashes, least = hashed(data, length)
+            key, owner, first, count = runs(least, begins, length)
+            of, context = contexts(hashes, least, key, begins[owner] + first, count, length)
+            for found, text, is_context in ((key, owner, False), (context, owner[of], True)):
+                pairs = np.unique(np.stack((found.view(np.int64), text)), axis=1)[0] if len(found) else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(np.full(len(pairs), is_context))], ["key", "is_context"])
 
     some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text")
-    counted = some.mapInArrow(run, "key bigint").groupBy("key").count().where(F.col("count") >= max(8, int(FREQUENT * sample)))
-    return np.array([r.key for r in counted.select("key").collect()], np.int64).view(np.uint64)
+    counted = some.mapInArrow(run, "key bigint, is_context boolean").groupBy("key", "is_context").count()
+    found = counted.where(F.col("count") >= max(8, int(FREQUENT * sample))).collect()
+    keys, others = ([r.key for r in found if r.is_context == kind] for kind in (False, True))
+    return np.array(keys, np.int64).view(np.uint64), np.array(others, np.int64).view(np.uint64)
 
 
-def _removed_spans(texts: DataFrame, total: int, length: int, shard_bytes: int, sample: int) -> DataFrame:
-    """id (doc_id), mark (of the text), and spans a to b of bytes to remove, which may overlap, from the partitioned texts."""
-    frequent = _frequent(texts.where("doc_id IS NOT NULL").where(F.octet_length("text") >= length), length, sample)
+def _removed_spans(rows: DataFrame, texts: DataFrame, total: int, length: int, shard_bytes: int, sample: int) -> DataFrame:
+    """id (doc_id), mark (of the text), and spans a to b of bytes to remove, which may overlap, from the rows and the same partitioned."""
+    frequent, frequent_contexts = _frequent(rows.where("doc_id IS NOT NULL").where(F.octet_length("text") >= length), length, sample)
     key_shards = max(1, total // KEY_BYTES)
-    keys = texts.mapInArrow(_keys(key_shards, frequent, length), _SHARD).repartition(key_shards, "shard")
+    keys = rows.mapInArrow(_keys(key_shards, frequent_contexts, length), _SHARD).repartition(key_shards, "shard")
     shared = keys.mapInArrow(_shared, "id bigint, mark int, numbers array<int>")
     numbers = shared.groupBy("id", "mark").agg(F.flatten(F.collect_list("numbers")).alias("numbers"))
     chosen = texts.join(numbers, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "tag", "text", "numbers")
     shards = max(1, total // shard_bytes)
-    dealt = chosen.mapInArrow(_deal(shards, frequent, length), _SHARD).repartition(shards, "shard")
+    dealt = chosen.mapInArrow(_deal(shards, frequent, frequent_contexts, length), _SHARD).repartition(shards, "shard")
     return dealt.mapInArrow(_match(length), "id bigint, mark int, a int, b int")
 
 
@@ -419,12 +467,12 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD
     no order and loses nothing, nor do others because of it.  Rows of one doc_id count as one
     document: none loses anything because of another.  Columns other than doc_id and text are not read.
 
-    The texts are partitioned once; the steps that need them join what they need to that partitioning.
+    The texts are partitioned once; the steps after the first join what they need to that partitioning.
     """
     rows = docs.select("doc_id", _tag().alias("tag"), "text")
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     texts = rows.repartition(total // TEXT_BYTES + 1, "doc_id", "tag")
-    found = _removed_spans(texts, total, length, shard_bytes, sample)
+    found = _removed_spans(rows, texts, total, length, shard_bytes, sample)
     found = found.groupBy("id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("raw"))
     joined = texts.join(found, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "text", "raw")
 
