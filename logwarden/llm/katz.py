@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from logwarden.llm import common
 
-#: Pairs with a lower training count are not kept; counts up to DISCOUNTED are discounted.
-LEAST_PAIR, DISCOUNTED = 2, 5
+#: Pairs with a lower training count are not kept, so at 1 every pair is; counts up to DISCOUNTED are discounted.
+LEAST_PAIR, DISCOUNTED = 1, 5
 #: Words broadcast to every task; the others are joined.
 FREQUENT_WORDS = 1 << 19
 #: Bytes of text whose pairs make one shard.

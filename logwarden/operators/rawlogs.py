@@ -12,22 +12,26 @@ from pyspark.sql import functions as F
 from logwarden.functions.ip import country_of
 from logwarden.schemas import NULL_DEFAULTS, event_columns, wire_types
 
-_SYSLOG = r"([A-Z][a-z]{2}) +(\d{1,2}) (\d{2}:\d{2}:\d{2}) \S+ "
+# A syslog line begins with a date without a year, or with an ISO time.
+_SYSLOG = (
+    r"(?:([A-Z][a-z]{2}) +(\d{1,2}) (\d{2}:\d{2}:\d{2})"
+    r"|(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d+)?)(Z|[+-]\d{2}:?\d{2})?) \S+ "
+)
 _LINE = {
     "auth": _SYSLOG
-    + r"sshd\[\d+\]: (Failed|Accepted|Invalid) (?:password for|user) "
-    + r"(\S+) from (\S+) port (\d+)",
+    + r"sshd\[\d+\]: ((?:Failed|Accepted)(?= \S+ for )|Invalid(?= user )) "
+    + r"(?:\S+ for (?:invalid user )?|user )(\S+) from (\S+) port (\d+)",
     "firewall": _SYSLOG
-    + r"kernel: \[UFW (BLOCK|ALLOW)\] .*?\bSRC=(\S+) DST=(\S+)"
+    + r"kernel: (?:\[ *\d+\.\d+\] )?\[UFW (BLOCK|ALLOW)\] .*?\bSRC=(\S+) DST=(\S+)"
     + r"(?: LEN=(\S+))?(?:.*? PROTO=(\S+))?(?:.*? SPT=(\S+))?(?:.*? DPT=(\S+))?",
-    "web": r"(\S+) \S+ \S+ \[(\d{2})/([A-Z][a-z]{2})/(\d{4}):(\d{2}:\d{2}:\d{2}) \+0000\] "
-    + r'"(\S+) (\S+) [^"]*" (\d{3}) (\d+|-) "[^"]*" "[^"]*"',
+    "web": r"(\S+) \S+ \S+ \[(\d{2})/([A-Z][a-z]{2})/(\d{4}):(\d{2}:\d{2}:\d{2}) ([+-]\d{4})\] "
+    + r'"(\S+) (\S+) [^"]*" (\d{3}) (\d+|-)(?: "[^"]*" "[^"]*"|\s*$)',
 }
 _NAMES = {
-    "auth": "month day clock verb username source_ip source_port",
-    "firewall": "month day clock verb source_ip destination_ip bytes_sent protocol source_port "
-    "destination_port",
-    "web": "source_ip day month year clock http_method url http_status bytes_sent",
+    "auth": "month day clock iso offset verb username source_ip source_port",
+    "firewall": "month day clock iso offset verb source_ip destination_ip bytes_sent protocol "
+    "source_port destination_port",
+    "web": "source_ip day month year clock offset http_method url http_status bytes_sent",
 }
 _MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
@@ -62,14 +66,30 @@ def _instant(year: Column, month: Column, day: Column, clock: Column) -> Column:
     return F.concat(date, F.lit("T"), clock)
 
 
+def _zoned(local: Column, offset: Column, zone_free: bool) -> Column:
+    """A local time as text with its offset, if it has one; without a zone, its time in UTC."""
+    hours, minutes = F.substring(offset, 2, 2), F.right(offset, F.lit(2))
+    shift = F.concat(F.left(offset, F.lit(1)), hours, F.lit(":"), minutes)
+    numeric = offset.rlike("^[+-]")
+    zoned = F.concat(local, F.when(numeric, shift).otherwise(F.coalesce(offset, F.lit(""))))
+    if not zone_free:
+        return zoned
+    sign = F.when(offset.startswith("-"), -1).otherwise(1)
+    east = F.make_dt_interval(mins=sign * (hours.try_cast("int") * 60 + minutes.try_cast("int")))
+    plain = local.try_cast("timestamp_ntz")
+    # An offset that no zone has makes the line as unusable as it is with a zone.
+    return F.when(~F.coalesce(numeric, F.lit(False)), plain).when(
+        F.concat(F.lit("2000-01-01T00:00:00"), shift).try_cast("timestamp").isNotNull(), plain - east
+    )
+
+
 def _fields(topic: str, year: int) -> dict[str, Column]:
-    """Event columns the line itself determines."""
+    """Event columns the line itself determines; `timestamp` is the local time as text."""
     part = {name: F.col(f"found.{name}") for name in _NAMES[topic].split()}
     verb = part.get("verb")
+    local = _instant(part.get("year", F.lit(str(year))), part["month"], part["day"], part["clock"])
     known = {
-        "timestamp": _instant(
-            part.get("year", F.lit(str(year))), part["month"], part["day"], part["clock"]
-        ),
+        "timestamp": F.coalesce(part["iso"], local) if "iso" in part else local,
         "protocol": F.lit("TCP"),
         **part,
     }
@@ -94,9 +114,7 @@ def _read(lines: DataFrame, topic: str, year: int, zone_free: bool) -> DataFrame
         "topic": F.lit(topic),
         "country": country_of(known["source_ip"]),
     }
-    if topic == "web" and not zone_free:
-        # Web lines carry an offset of +0000; without a zone their clock time is kept.
-        known["timestamp"] = F.concat(known["timestamp"], F.lit("Z"))
+    known["timestamp"] = _zoned(known["timestamp"], known["offset"], zone_free)
     types = wire_types(topic) | {"timestamp": "timestamp_ntz" if zone_free else "timestamp"}
     defaults = NULL_DEFAULTS[topic]
 

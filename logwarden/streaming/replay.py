@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logwarden.config import PipelineConfig
-from logwarden.schemas import event_columns
+from logwarden.schemas import ALERT_DDL, STATS_DDL, event_columns
 from logwarden.sinks.tables import parquet_table
 from logwarden.sources.messages import file_messages
 from logwarden.sources.shared import shared_folder
@@ -20,7 +21,8 @@ from logwarden.streaming.pipeline import (
     streaming_session,
 )
 
-# One event far in the future moves the watermark past every real window, which closes them.
+# One event far in the future moves the watermark past every real window, which closes them.  Its
+# own windows never close, so it reaches the archive only, where its time tells it from real events.
 _FLUSH_IP = "0.0.0.0"
 _FLUSH_TIME = "9000-01-01T00:00:00"
 
@@ -67,15 +69,21 @@ def replay(
     for query in running:
         query.awaitTermination()
     if product == "archive":
+        flush_time = F.lit(f"{_FLUSH_TIME}Z").cast("timestamp")
         tables = [
-            session.read.parquet(f"{folder}/archive/{topic}").select(
-                "timestamp", "topic", "source_ip", "date"
-            )
+            session.read.parquet(f"{folder}/archive/{topic}")
+            .where(F.col("timestamp") != flush_time)
+            .select("timestamp", "topic", "source_ip", "date")
             for topic in messages_by_topic
         ]
         result = tables[0]
         for table in tables[1:]:
             result = result.unionByName(table)
-        return result.where(F.col("source_ip") != _FLUSH_IP)
-    table = session.read.parquet(f"{folder}/table").drop("query", "batch_id")
-    return table.where(F.col("source_ip") != _FLUSH_IP)
+        return result
+    try:
+        return session.read.parquet(f"{folder}/table").drop("query", "batch_id")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # Empty batches are not written.
+        return session.createDataFrame([], ALERT_DDL if product == "alerts" else STATS_DDL)

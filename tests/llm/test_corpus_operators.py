@@ -193,6 +193,14 @@ def test_katz_equals_brute_force(docs, no_docs, frequent, shard_text):
     assert katz.score_documents(no_docs).count() == 0
 
 
+def test_katz_keeps_pairs_seen_once(spark):
+    # Every count is one, so nothing is discounted and a pair has half of what follows its first word.
+    docs = spark.createDataFrame([(2, "x y z")], "doc_id bigint, text string")
+    (row,) = katz.score_documents(docs).collect()
+    assert not row.held_out
+    assert abs(row.score - 4 * math.log10(1 / 2)) < 1e-9
+
+
 def test_pipeline_stages_equal_brute_force(spark, tmp_path):
     table, labels, truth = quality_table(spark, 200)
     extra = [(500, prose(11, 60)), (501, prose(11, 60)), (502, prose(12, 50)), (503, "mail Jo.Doe@mail.example.com " + prose(13, 30)), (504, None), (505, "")]
