@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import common, decontaminate, katz, licenses, phrases, pieces, pii, quality, simhash, suffixes, token_counts
+from logwarden.llm import byte_bpe, common, decontaminate, katz, licenses, phrases, pieces, pii, quality, simhash, suffixes, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,12 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.round_trip(common.table(spark, sf_dir, "documents"), path)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         common.ship(spark)
@@ -99,5 +105,6 @@ QUERIES: dict[str, Query] = {
         "op8_suffixes": op8_suffixes,
         "op9_simhash": op9_simhash,
         "op10_pieces": op10_pieces,
+        "op13_byte_bpe": op13_byte_bpe,
     }.items()
 }
