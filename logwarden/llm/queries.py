@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.llm import byte_bpe, common, decontaminate, katz, licenses, negatives, phrases, pieces, pii, quality, simhash, suffixes, token_counts
+from logwarden.llm import byte_bpe, common, decontaminate, katz, licenses, negatives, phrases, pieces, pii, quality, simhash, spelling, suffixes, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(common.table(spark, sf_dir, "documents"))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.col("label").cast("bigint")
     moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -111,6 +115,7 @@ QUERIES: dict[str, Query] = {
         "op8_suffixes": op8_suffixes,
         "op9_simhash": op9_simhash,
         "op10_pieces": op10_pieces,
+        "op11_spelling": op11_spelling,
         "op12_negatives": op12_negatives,
         "op13_byte_bpe": op13_byte_bpe,
     }.items()
