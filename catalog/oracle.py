@@ -145,17 +145,30 @@ _VARIANTS = {
         "sum(bytes_sent) > 100000000", "'CRIT'", "exfiltration_detected",
         bytes_sent="CAST(sum(bytes_sent) AS BIGINT)",
     ),
-    "detect_bruteforce_success": _alerts(
-        "brute_force_success", "auth", "true", 60, 30,
-        f"""count(*) FILTER ({_FAILED}) > 10
-        AND max("timestamp") FILTER (action = 'login_success')
-            > max("timestamp") FILTER ({_FAILED})""",
-        "'CRIT'", "login_success", username="max(username)",
-        condition="action = 'login_success'",
-    ),
 }
 
 
+# "> 10 failed logins from the same IP within one minute, followed by a login_success from the
+# same IP": the success counts from the second of the eleventh failure to a minute past the window.
+_SUCCESS_AFTER = f"""
+WITH failing AS (
+  SELECT ws, source_ip, country, list_sort(list(second))[11] AS eleventh
+  FROM (SELECT source_ip, country, date_trunc('second', "timestamp") AS second,
+               time_bucket(INTERVAL 30 SECOND, "timestamp") - step * INTERVAL 30 SECOND AS ws
+        FROM auth, range(2) AS steps(step) WHERE {_FAILED})
+  GROUP BY ws, source_ip, country HAVING count(*) > 10)
+SELECT ws AS "timestamp", f.source_ip, max(s.destination_ip) AS destination_ip,
+       max(s.source_port) AS source_port, max(s.destination_port) AS destination_port,
+       max(s.username) AS username, 'auth' AS topic, 'login_success' AS action, 'TCP' AS protocol,
+       CAST(0 AS BIGINT) AS bytes_sent, f.country, 'CRIT' AS severity,
+       'brute_force_success' AS rule_triggered, max(s.raw) AS raw
+FROM failing AS f JOIN auth AS s
+  ON s.source_ip = f.source_ip AND s.action = 'login_success'
+  AND date_trunc('second', s."timestamp") >= f.eleventh
+  AND s."timestamp" < f.ws + INTERVAL 120 SECOND
+GROUP BY ws, f.source_ip, f.country"""
+
+
 def _with(body: str, *extra: str) -> str:
     return "WITH " + ",\n".join((_VIEWS.strip(), *extra)) + "\n" + body
 
@@ -170,14 +183,15 @@ def _ip_value(ip: str) -> str:
     return f"CASE WHEN regexp_full_match({ip}, '{full}') THEN {number} END"
 
 
-def _range(first: str, last: str, value: str = "n") -> str:
-    def number(ip: str) -> int:
-        total = 0
-        for octet in ip.split("."):
-            total = total * 256 + int(octet)
-        return total
+def _number(ip: str) -> int:
+    total = 0
+    for octet in ip.split("."):
+        total = total * 256 + int(octet)
+    return total
+
 
-    return f"coalesce({value} BETWEEN {number(first)} AND {number(last)}, false)"
+def _range(first: str, last: str, value: str = "n") -> str:
+    return f"coalesce({value} BETWEEN {_number(first)} AND {_number(last)}, false)"
 
 
 _BLOCKED = " OR ".join(
@@ -386,6 +400,11 @@ _BLACKLIST_ALERTS = "\nUNION ALL\n".join(
 
 ORACLE: dict[str, str] = {
     **{name: _with(body) for name, body in {**_RULES, **_VARIANTS}.items()},
+    "detect_bruteforce_success": _with(f"SELECT * FROM ({_SUCCESS_AFTER})"),
+    # The sketches hold counts of this size exactly, so approximate rules raise the same alerts.
+    **{f"{name}_approx": _with(_RULES[name]) for name in (
+        "detect_port_scan", "detect_web_scan", "detect_lateral_movement")},
+    "stream_alerts_approx": _from_alerts("SELECT * FROM all_alerts"),
     "detect_blacklist": _with(_BLACKLIST_ALERTS),
     "alerts_all": _from_alerts("SELECT * FROM all_alerts"),
     "stream_alerts": _from_alerts("SELECT * FROM all_alerts"),
@@ -479,6 +498,30 @@ ORACLE: dict[str, str] = {
             ELSE 'UNKNOWN' END AS country"""
     ),
     "tag_blacklist": _from_addresses(f"({_BLOCKED}) AS blacklisted"),
+    "enrich_country_table": _from_addresses(
+        f"""CASE WHEN {_range("45.33.32.0", "45.33.32.255")} THEN coalesce((
+              SELECT min('N' || c_nationkey) FROM customer
+              WHERE c_custkey % 14 = (n - {_number("45.33.32.0")}) // 16), 'US')
+            WHEN {_range("8.8.0.0", "8.8.255.255")} OR {_range("209.141.36.0", "209.141.36.255")}
+              OR {_range("13.32.0.0", "13.32.255.255")} THEN 'US'
+            WHEN {_range("1.1.1.0", "1.1.1.255")} THEN 'AU'
+            WHEN {_range("80.82.77.0", "80.82.77.255")} THEN 'NL'
+            WHEN {_range("192.168.1.0", "192.168.1.255")} OR {_range("10.0.0.0", "10.0.0.255")}
+            THEN 'INT' ELSE 'UNKNOWN' END AS country"""
+    ),
+    "tag_blacklist_table": _from_addresses(
+        f"""({_BLOCKED}) OR coalesce({_range("8.8.4.0", "8.8.4.255")} AND n % 256 IN (
+              SELECT s_suppkey % 256 FROM supplier), false) AS blacklisted"""
+    ),
+    "distinct_sketch_error": _with(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{topic}' AS topic, {seconds} AS seconds, count(*) AS groups,
+            CAST(0 AS BIGINT) AS outside FROM (SELECT DISTINCT source_ip,
+              time_bucket(INTERVAL {seconds} SECOND, "timestamp") FROM {topic})"""
+            for topic in ("auth", "firewall", "web")
+            for seconds in (60, 300)
+        )
+    ),
     "classify_network": _from_addresses(
         f"""CASE WHEN n IS NULL THEN 'invalid'
             WHEN {_range("10.0.0.0", "10.0.0.255")} THEN 'server'

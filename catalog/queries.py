@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.operators import contract, enrich, parse, rawlogs, reports, rules, stats
+from logwarden.operators import (
+    contract, enrich, lookup, parse, rawlogs, reports, rules, sketches, stats,
+)
 from logwarden.operators.detect import detect, detect_all, union_all
 from logwarden.schemas import TOPICS
 from logwarden.sinks.tables import archive_table
@@ -122,6 +124,48 @@ def _on_addresses(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(views.address_view(spark, sf_dir))
 
 
+def _stored(table: DataFrame, purpose: str) -> DataFrame:
+    folder = shared_folder(table.sparkSession, purpose)
+    table.write.parquet(folder)
+    return table.sparkSession.read.parquet(folder)
+
+
+def enrich_country_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known prefixes, and customers' smaller networks inside one of them."""
+    networks = views.country_networks(spark, sf_dir)
+    table = _stored(lookup.network_table(networks, F.col("country")), "networks")
+    return lookup.enrich_country_from(views.address_view(spark, sf_dir), table)
+
+
+def tag_blacklist_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixed list, and single addresses that suppliers are listed under."""
+    table = _stored(lookup.network_table(views.listed_networks(spark, sf_dir)), "networks")
+    return lookup.tag_blacklist_from(views.address_view(spark, sf_dir), table)
+
+
+def distinct_sketch_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values per address and window, merged from stored panes, against exact counts:
+    how many groups there are and how many miss the stated bound."""
+    results = []
+    for topic, value in (("auth", "raw"), ("firewall", "destination_port"), ("web", "url")):
+        events = views.topic_view(spark, sf_dir, topic)
+        panes = _stored(sketches.distinct_panes(events, ["source_ip"], value, 30), "sketches")
+        for seconds in (60, 300):
+            merged = sketches.distinct_over(panes, ["source_ip"], seconds)
+            exact = events.groupBy(
+                F.window("timestamp", f"{seconds} seconds").start.alias("window_start"), "source_ip"
+            ).agg(F.count_distinct(value).alias("exact"), F.count("*").alias("exact_events"))
+            both = merged.join(exact, ["window_start", "source_ip"], "full")
+            wrong = sketches.outside_bound(F.col("distinct_values"), F.col("exact"))
+            wrong = F.coalesce(wrong | (F.col("events") != F.col("exact_events")), F.lit(True))
+            results.append(
+                both.agg(F.count("*").alias("groups"), F.count_if(wrong).alias("outside")).select(
+                    F.lit(topic).alias("topic"), F.lit(seconds).alias("seconds"), "groups", "outside"
+                )
+            )
+    return union_all(results)
+
+
 def _raw_lines(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
     return views.raw_events(spark, sf_dir, topic).select(F.col("raw").alias("line"))
 
@@ -221,6 +265,9 @@ QUERIES: dict[str, Query] = {
     "alert_contract_valid": alert_contract_valid,
     "enrich_country": _on_addresses(enrich.enrich_country),
     "tag_blacklist": _on_addresses(enrich.tag_blacklist),
+    "enrich_country_table": enrich_country_table,
+    "tag_blacklist_table": tag_blacklist_table,
+    "distinct_sketch_error": distinct_sketch_error,
     "classify_network": _on_addresses(enrich.classify_network),
     "tag_suspicious_port": _on_addresses(enrich.tag_suspicious_port),
     "parse_raw_sshd": _raw("auth"),

@@ -24,6 +24,19 @@ class Agg:
     expr: str = "*"
 
 
+@dataclass(frozen=True)
+class FollowUp:
+    """What must come after a window has passed its threshold, from the same address.
+
+    Events count from the second in which the threshold was passed until `horizon_s` after the
+    window's end.  Order is judged by seconds, the resolution of the log lines: an event in the
+    same second counts.
+    """
+
+    where: Callable[[], Column]
+    horizon_s: int
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -38,6 +51,7 @@ class Rule:
     extras: dict[str, Agg] = field(default_factory=dict)
     guard: str = "true"  # SQL over `extras`, checked with the threshold
     bytes_from_measure: bool = False
+    follow_up: FollowUp | None = None  # carried columns are then those of its events
 
     @property
     def trigger(self) -> int:
@@ -174,28 +188,19 @@ EXFIL_INTERNAL = Rule(
     bytes_from_measure=True,
 )
 
-_FAILED = "action in ('login_fail', 'invalid_user')"
-_SUCCEEDED = "action = 'login_success'"
-
-# More than ten failures whose run ends in a success inside the same window.  One conditional
-# aggregate, no join: an address with very many events costs no more than its panes.
+# More than ten failures within a minute, and then a success of the same address, at most a
+# minute after the window.  The success may come between further failures, or after the window.
 BRUTE_FORCE_SUCCESS = Rule(
     name="brute_force_success",
     topic="auth",
-    where=_action_in(*_LOGIN_FAILURES, "login_success"),
+    where=_action_in(*_LOGIN_FAILURES),
     window_s=60,
     slide_s=30,
-    measure=Agg("sum", f"if({_FAILED}, 1, 0)"),
+    measure=Agg("count"),
     tiers=((10, "CRIT"),),
-    carry={
-        name: f"if({_SUCCEEDED}, {name}, null)" for name in (*_FLOW, "username")
-    },
+    carry=_same(*_FLOW, "username"),
     stamps={"action": "login_success"},
-    extras={
-        "last_failure": Agg("max", f"if({_FAILED}, timestamp, null)"),
-        "last_success": Agg("max", f"if({_SUCCEEDED}, timestamp, null)"),
-    },
-    guard="last_success > last_failure",
+    follow_up=FollowUp(_action_in("login_success"), horizon_s=60),
 )
 
 

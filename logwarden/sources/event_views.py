@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logwarden.functions.ip import BLOCK_LIST, COUNTRY_BY_PREFIX
 from logwarden.schemas import TOPICS, event_columns
 
 _SOURCE_IP = {
@@ -215,3 +216,25 @@ def address_view(spark: SparkSession, sf_dir: str) -> DataFrame:
             "element_at(array(23, 445, 1433, 3389, 4444, 5900, 6666, 31337, 22, null), k % 10 + 1)"
         ).alias("destination_port"),
     )
+
+
+def country_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`cidr` and `country`: the fixed prefixes, and a network of sixteen addresses per customer."""
+    fixed = [
+        (".".join((prefix + ".0.0").split(".")[:4]) + f"/{8 * len(prefix.split('.'))}", country)
+        for prefix, country in COUNTRY_BY_PREFIX.items()
+    ]
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.expr("concat('45.33.32.', c_custkey % 14 * 16 + 3, '/28')").alias("cidr"),
+        F.expr("concat('N', c_nationkey)").alias("country"),
+    )
+    return spark.createDataFrame(fixed, "cidr string, country string").unionByName(customers)
+
+
+def listed_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`cidr`: the fixed block list, one address per supplier, and text that is no network."""
+    fixed = [(cidr,) for cidr in (*BLOCK_LIST, "1.2.3.0/33", "300.1.1.0/24", "junk", "1.1.1.1/8/8")]
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        F.expr("concat('8.8.4.', s_suppkey % 256)").alias("cidr")
+    )
+    return spark.createDataFrame(fixed, "cidr string").unionByName(suppliers)

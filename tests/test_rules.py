@@ -130,17 +130,45 @@ def test_exfil_internal_ignores_outside_sources(spark):
     assert len(alerts(spark, rules.EXFIL_INTERNAL, events)) == 5
 
 
+def success(second, **given):
+    return event(second, action="login_success", username="root", **given)
+
+
 def test_success_must_follow_more_than_ten_failures(spark):
+    def fired(*events):
+        return alerts(spark, rules.BRUTE_FORCE_SUCCESS, list(events))
+
     failures = [event(i * 0.1) for i in range(11)]
-    win = [event(2, action="login_success", username="root")]
-    early = [event(-0.5, action="login_success", username="root")]
-    found = alerts(spark, rules.BRUTE_FORCE_SUCCESS, failures + win)
+    found = fired(*failures, success(2))
     assert {(r.severity, r.username, r.action) for r in found} == {
         ("CRIT", "root", "login_success")
     }
-    assert alerts(spark, rules.BRUTE_FORCE_SUCCESS, failures) == []
-    assert alerts(spark, rules.BRUTE_FORCE_SUCCESS, failures[1:] + win) == []
-    assert alerts(spark, rules.BRUTE_FORCE_SUCCESS, failures + early) == []
+    assert fired(*failures) == []
+    assert fired(*failures[1:], success(2)) == []
+    assert fired(*failures, success(-0.5)) == []
+    assert fired(*failures, success(2, source_ip="4.4.4.4")) == []
+    # One failure, a success, then ten more failures: not after more than ten.
+    assert fired(event(0), success(3), *[event(5 + i) for i in range(10)]) == []
+
+
+@pytest.mark.parametrize("extra", [[event(4)], [event(4 + i) for i in range(20)]])
+def test_success_between_failures_counts(spark, extra):
+    events = [event(i * 0.1) for i in range(11)] + [success(3)] + extra
+    assert len(alerts(spark, rules.BRUTE_FORCE_SUCCESS, events)) == 2
+
+
+@pytest.mark.parametrize(("second", "starts"), [(59, [-30, 0]), (89, [-30, 0]), (90, [0]), (119.9, [0]), (120, [])])
+def test_success_after_the_window_counts_up_to_the_horizon(spark, second, starts):
+    events = [event(i * 0.1) for i in range(11)] + [success(second)]
+    found = alerts(spark, rules.BRUTE_FORCE_SUCCESS, events)
+    assert [r.timestamp for r in found] == [at(s) for s in starts]
+
+
+def test_success_shows_only_what_followed(spark):
+    events = [success(0, destination_ip="10.9.9.9"), *[event(2 + i * 0.1) for i in range(11)]]
+    events += [success(5, destination_ip="10.0.0.1", country="NL"), success(6, destination_ip="10.0.0.2")]
+    found = alerts(spark, rules.BRUTE_FORCE_SUCCESS, events)
+    assert {(r.destination_ip, r.country) for r in found} == {("10.0.0.2", "DE")}
 
 
 def test_block_list_rule(spark):
