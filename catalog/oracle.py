@@ -407,6 +407,7 @@ ORACLE: dict[str, str] = {
     "stream_alerts_approx": _from_alerts("SELECT * FROM all_alerts"),
     "detect_blacklist": _with(_BLACKLIST_ALERTS),
     "alerts_all": _from_alerts("SELECT * FROM all_alerts"),
+    "alerts_all_one_pass": _from_alerts("SELECT * FROM all_alerts"),
     "stream_alerts": _from_alerts("SELECT * FROM all_alerts"),
     "traffic_stats": _from_stats("SELECT * FROM stats"),
     "stream_traffic_stats": _from_stats("SELECT * FROM stats"),
@@ -455,6 +456,12 @@ ORACLE: dict[str, str] = {
     "parse_firewall": _parsed("firewall", "0"),
     "parse_web": _parsed("web", "NULL", ", url, http_method, http_status"),
     "parse_rejects": _with("\nUNION ALL\n".join(map(_rejects, ("auth", "firewall", "web")))),
+    # A message without a value arrives as an empty line.
+    "stream_quarantine": _with(
+        "SELECT topic, reason, coalesce(value, '') AS value FROM ("
+        + "\nUNION ALL\n".join(map(_rejects, ("auth", "firewall", "web")))
+        + ")"
+    ),
     "archive_daily_counts": _with(
         _each_topic(
             """SELECT topic, strftime(original_ts, '%Y-%m-%d') AS date, count(*) AS events,
@@ -485,6 +492,16 @@ ORACLE: dict[str, str] = {
         ) GROUP BY violation""",
         _CANDIDATES,
     ),
+    "stats_contract_violations": _with(
+        """SELECT violation, count(*) AS n FROM (
+          SELECT 'window_start_missing' AS violation FROM firewall WHERE k = 0
+          UNION ALL SELECT 'window_end_missing' FROM firewall WHERE k % 50 = 0
+          UNION ALL SELECT 'topic_missing' FROM firewall WHERE k = 1
+          UNION ALL SELECT 'topic_too_long' FROM firewall WHERE k = 2
+          UNION ALL SELECT 'source_ip_too_long' FROM firewall WHERE k = 3
+          UNION ALL SELECT 'country_too_long' FROM firewall WHERE k = 4
+        ) GROUP BY violation"""
+    ),
     "alert_contract_valid": _with(
         "SELECT * EXCLUDE (k) FROM candidates WHERE k > 3 AND severity <> 'SEVERE'", _CANDIDATES
     ),

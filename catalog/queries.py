@@ -47,6 +47,11 @@ def alerts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_all(views.topic_views(spark, sf_dir), distinct="exact")
 
 
+def alerts_all_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each topic is read once."""
+    return detect_all(views.topic_views(spark, sf_dir), one_pass=True)
+
+
 def traffic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.traffic_stats(views.topic_views(spark, sf_dir))
 
@@ -216,13 +221,25 @@ def stream_alerts_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _without_zone(alerts, "timestamp")
 
 
+def stats_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = contract.stats_violations(views.stats_candidates(spark, sf_dir))
+    return contract.violation_counts(checked)
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What parsing refuses of damaged messages, kept by the stream that archives the others."""
+    messages = {topic: views.faulty_messages(spark, sf_dir, topic) for topic in TOPICS}
+    return replay(spark, messages, "quarantine")
+
+
 def stream_traffic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = replay(spark, _messages(spark, sf_dir), "stats")
     return _without_zone(table, "window_start", "window_end")
 
 
 def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = replay(spark, _messages(spark, sf_dir), "archive")
+    trigger = {"processingTime": "0 seconds"}
+    table = replay(spark, _messages(spark, sf_dir), "archive", trigger=trigger)
     return _without_zone(table, "timestamp").withColumn("date", F.col("date").cast("string"))
 
 
@@ -241,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "detect_bruteforce_success": _rule(rules.BRUTE_FORCE_SUCCESS),
     "detect_blacklist": blacklist,
     "alerts_all": alerts_all,
+    "alerts_all_one_pass": alerts_all_one_pass,
     "traffic_stats": traffic_stats,
     "q_total_alerts": _on_alerts(reports.total_alerts),
     "q_critical_alerts": _on_alerts(reports.critical_alerts),
@@ -263,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "archive_scan": archive_scan,
     "alert_contract_violations": alert_contract_violations,
     "alert_contract_valid": alert_contract_valid,
+    "stats_contract_violations": stats_contract_violations,
     "enrich_country": _on_addresses(enrich.enrich_country),
     "tag_blacklist": _on_addresses(enrich.tag_blacklist),
     "enrich_country_table": enrich_country_table,
@@ -279,4 +298,5 @@ QUERIES: dict[str, Query] = {
     "stream_alerts_approx": stream_alerts_approx,
     "stream_traffic_stats": stream_traffic_stats,
     "stream_archive": stream_archive,
+    "stream_quarantine": stream_quarantine,
 }

@@ -7,6 +7,11 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 
+CORE_RULE_NAMES = (
+    "brute_force", "port_scan", "web_scan", "data_exfiltration", "lateral_movement",
+)
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     checkpoint_root: str
@@ -22,14 +27,25 @@ class PipelineConfig:
     trigger_seconds: int = 10
     watermark: str = "30 seconds"
     starting_offsets: str = "latest"
-    # Input cap per topic and trigger.  Raise it with the cluster; None removes it.
-    max_offsets_per_trigger: int | None = 1000
+    # Input cap per topic and trigger; without one, a batch takes all that has come.
+    max_offsets_per_trigger: int | None = None
     distinct: str = "approx"
+    # Names of the rules to run, see `logwarden.operators.rules.REGISTRY`.
+    rules: tuple[str, ...] = CORE_RULE_NAMES
+    tables_root: str = ""
+
+    @property
+    def alert_table(self) -> str:
+        return f"{self.tables_root or self.archive_root + '-tables'}/alerts"
+
+    @property
+    def stats_table(self) -> str:
+        return f"{self.tables_root or self.archive_root + '-tables'}/traffic_stats"
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> PipelineConfig:
         defaults = cls(checkpoint_root="/app/data/checkpoints", archive_root="/app/data/parquet")
-        cap = env.get("MAX_OFFSETS_PER_TRIGGER", str(defaults.max_offsets_per_trigger))
+        cap = env.get("MAX_OFFSETS_PER_TRIGGER", "none")
         return cls(
             checkpoint_root=env.get("CHECKPOINT_PATH", defaults.checkpoint_root),
             archive_root=env.get("PARQUET_OUTPUT_PATH", defaults.archive_root),
@@ -40,6 +56,8 @@ class PipelineConfig:
             },
             trigger_seconds=int(env.get("SPARK_BATCH_INTERVAL", defaults.trigger_seconds)),
             max_offsets_per_trigger=None if cap == "none" else int(cap),
+            rules=tuple(env["RULES"].split(",")) if env.get("RULES") else defaults.rules,
+            tables_root=env.get("TABLE_OUTPUT_PATH", defaults.tables_root),
         )
 
 

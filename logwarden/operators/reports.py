@@ -52,13 +52,16 @@ def alerts_by_rule_severity(alerts: DataFrame) -> DataFrame:
     )
 
 
-def _between(start, end) -> Column:
-    bounds = F.lit(True)
-    if start is not None:
-        bounds = bounds & (F.col("window_start") >= start)
-    if end is not None:
-        bounds = bounds & (F.col("window_start") <= end)
-    return bounds
+def _between(table: DataFrame, time: str, start, end) -> DataFrame:
+    """Rows of a time range.  Where the table is kept by date, only the range's days are read."""
+    dated = "date" in table.columns
+    for bound, holds in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is not None:
+            table = table.where(holds(F.col(time), bound))
+            if dated:
+                # The bound is a constant, so this selects folders before anything is read.
+                table = table.where(holds(F.col("date"), F.to_date(F.lit(bound)).cast("string")))
+    return table
 
 
 def _series(stats: DataFrame, measure: str, topics: tuple[str, ...], start, end) -> DataFrame:
@@ -68,7 +71,7 @@ def _series(stats: DataFrame, measure: str, topics: tuple[str, ...], start, end)
         return F.sum(value).alias(topic.capitalize())
 
     return (
-        stats.where(_between(start, end))
+        _between(stats, "window_start", start, end)
         .groupBy(F.col("window_start").alias("time"))
         .agg(*map(total, topics))
         .orderBy("time")
@@ -93,9 +96,9 @@ def _newest(alerts: DataFrame, columns: tuple[str, ...], n: int) -> DataFrame:
     return alerts.orderBy(F.desc("timestamp"), *_TIE_BREAK).limit(n).select(*columns)
 
 
-def recent_alerts(alerts: DataFrame, n: int = 50) -> DataFrame:
+def recent_alerts(alerts: DataFrame, n: int = 50, start=None, end=None) -> DataFrame:
     columns = ("timestamp", "source_ip", "country", "destination_ip", "rule_triggered", "severity")
-    return _newest(alerts, columns, n)
+    return _newest(_between(alerts, "timestamp", start, end), columns, n)
 
 
 def latest_alerts(alerts: DataFrame, n: int = 20) -> DataFrame:

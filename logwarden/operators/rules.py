@@ -7,13 +7,14 @@ which alert to raise above a threshold.  How that is executed is decided in
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logwarden.functions.ip import BLOCK_LIST, in_networks, ipv4_to_long, is_private_text
+from logwarden.schemas import TOPICS
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,17 @@ class Rule:
     def counts_distinct(self) -> bool:
         return self.measure.kind == "distinct"
 
+    def constants(self) -> dict[str, object]:
+        """Alert columns that neither the group nor the carried columns give."""
+        return {
+            "topic": self.topic,
+            "protocol": "TCP",
+            "bytes_sent": 0,
+            "rule_triggered": self.name,
+            "username": None,
+            **self.stamps,
+        }
+
     def severity(self, measure: Column) -> Column:
         result = F.lit(self.tiers[0][1])
         for limit, label in self.tiers[1:]:
@@ -221,3 +233,18 @@ def block_list_rule(topic: str) -> Rule:
 
 CORE_RULES = (BRUTE_FORCE, PORT_SCAN, WEB_SCAN, EXFILTRATION, LATERAL_MOVEMENT)
 VARIANT_RULES = (WEB_SCAN_RATIO, LATERAL_INTERNAL, EXFIL_INTERNAL, BRUTE_FORCE_SUCCESS)
+
+#: All rules by name; the block list has one per topic.
+REGISTRY: dict[str, tuple[Rule, ...]] = {
+    **{rule.name: (rule,) for rule in (*CORE_RULES, *VARIANT_RULES)},
+    "blacklist": tuple(block_list_rule(topic) for topic in TOPICS),
+}
+
+
+def rules_named(names: Iterable[str]) -> list[Rule]:
+    """The rules of the names, in order; an unknown name is an error that lists the known ones."""
+    names = list(names)
+    unknown = [name for name in names if name not in REGISTRY]
+    if unknown:
+        raise ValueError(f"unknown rules {', '.join(unknown)}; known: {', '.join(REGISTRY)}")
+    return [rule for name in names for rule in REGISTRY[name]]

@@ -82,6 +82,27 @@ def jdbc_table(table: str, database: DatabaseConfig) -> BatchWriter:
     return _nonempty(table, write)
 
 
+def guarded(sink: BatchWriter, refused_path: str) -> BatchWriter:
+    """Gives a sink the accepted rows of a judged batch, and keeps the refused ones in files.
+
+    A row that the store would refuse, such as one with an over-long name, so neither stops the
+    query nor is lost.  The refused rows of a batch have a folder of their own, written first: a
+    batch that fails and is run again replaces it.
+    """
+    keep_refused = parquet_table(refused_path)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            keep_refused(batch.where(~F.col("accepted")).drop("accepted"), batch_id)
+            accepted = batch.where("accepted").drop("accepted", "date", "violations")
+            sink(accepted, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def with_date(events: DataFrame) -> DataFrame:
     return events.withColumn("date", F.to_date("timestamp").cast("string"))
 

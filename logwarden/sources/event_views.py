@@ -199,6 +199,21 @@ def alert_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stats_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics rows of which some break the output contract, derived from the firewall view."""
+    view = topic_view(spark, sf_dir, "firewall").withColumn("slot", F.expr(_SLOT))
+    return view.select(
+        F.expr("if(slot = 0, null, timestamp)").alias("window_start"),
+        F.expr("if(slot % 50 = 0, null, timestamp + INTERVAL '1' MINUTE)").alias("window_end"),
+        F.expr("CASE slot WHEN 1 THEN null WHEN 2 THEN repeat('t', 21) ELSE topic END").alias("topic"),
+        F.expr("if(slot = 3, repeat('1', 46), source_ip)").alias("source_ip"),
+        F.expr("if(slot = 4, repeat('c', 51), country)").alias("country"),
+        F.lit(1).cast("bigint").alias("event_count"),
+        F.lit(0).cast("bigint").alias("fail_count"),
+        F.col("bytes_sent").alias("bytes_total"),
+    )
+
+
 def address_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One address and port per event: listed, private, border and malformed ones."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

@@ -170,7 +170,6 @@ def test_settings():
         "kafka.bootstrap.servers": "kafka:9092",
         "subscribe": "w",
         "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": "1000",
     }
     unlimited = PipelineConfig.from_env({"MAX_OFFSETS_PER_TRIGGER": "none"})
     assert "maxOffsetsPerTrigger" not in kafka_options("auth", unlimited)

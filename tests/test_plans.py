@@ -4,7 +4,7 @@ import pytest
 
 from catalog.queries import QUERIES
 from logwarden.operators import rules
-from logwarden.operators.detect import detect
+from logwarden.operators.detect import detect, detect_all
 from logwarden.operators.stats import topic_stats
 
 SF = "/root/testdata/sf0.001"
@@ -76,3 +76,16 @@ def test_statistics_need_one_exchange_and_no_sort(stored):
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Sort" not in plan
     assert "raw" not in scans(plan)[0]
+
+
+def test_one_pass_reads_each_topic_once(spark, tmp_path):
+    topics = {}
+    for topic in ("auth", "firewall", "web"):
+        QUERIES[f"parse_{topic}"](spark, SF).write.parquet(f"{tmp_path}/{topic}")
+        topics[topic] = spark.read.parquet(f"{tmp_path}/{topic}")
+    plan = plan_of(detect_all(topics, one_pass=True))
+    assert len(scans(plan)) == 3
+    # Below the first exchange of a topic nothing is multiplied.
+    assert "Expand" not in plan.split("FileScan")[1] and "Join" not in plan
+    apart = detect_all(topics)
+    assert sorted(map(repr, detect_all(topics, one_pass=True).collect())) == sorted(map(repr, apart.collect()))

@@ -7,7 +7,7 @@ import pytest
 from helpers import T0, event, frame
 
 from logwarden.operators import rules
-from logwarden.operators.detect import detect
+from logwarden.operators.detect import detect, detect_all
 
 PREDICATES = {
     "brute_force": lambda e: e["action"] in ("login_fail", "invalid_user"),
@@ -77,3 +77,17 @@ def test_rule_matches_plain_counting(spark, rule, seed):
     }
     assert got and len(got) == len(rows)
     assert got == expected(rule, events)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rules_in_one_pass_match_plain_counting(spark, seed):
+    events = random_events(seed)
+    # More than enough values for a sketch to count; all rules read all events.
+    topics = dict.fromkeys(("auth", "firewall", "web"), frame(spark, events))
+    rows = detect_all(topics, rules.CORE_RULES, "approx", one_pass=True).collect()
+    got = {
+        (r.rule_triggered, (r.timestamp - T0).total_seconds(), r.source_ip, r.country, r.severity, r.raw)
+        for r in rows
+    }
+    want = {(rule.name, *row) for rule in rules.CORE_RULES for row in expected(rule, events)}
+    assert len(got) == len(rows) and got == want
