@@ -337,3 +337,26 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
     return encoded.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids (array of int) of each row's whole text, and round_trip: whether decoding them gives the text again.
+
+    The same as `encode` and then `decode`, in one pass of one worker, which holds the model once.
+    Null and empty texts have no ids and come back as empty ones; repeated rows and very long texts
+    are treated like any others, no rows give none, and other columns are not read.
+    """
+    made = compile_model(path)
+    shared = docs.sparkSession.sparkContext.broadcast((made, Decoder(made.output, made.dummy_prefix)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, decoder = shared.value
+        for batch in common.slices(batches, limit=_SLICE_BYTES):
+            texts = [x or "" for x in batch.column("text").to_pylist()]
+            found = model.encode(texts)
+            same = [decoder.decode(ids) == text for ids, text in zip(found, texts, strict=True)]
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(same)], ["doc_id", "ids", "round_trip"])
+
+    return common.map_arrow(docs, ["doc_id", "text"], run, "doc_id bigint, ids array<int>, round_trip boolean")

@@ -10,6 +10,7 @@ finds spans that the patterns miss.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -33,6 +34,7 @@ MAX_TOKENS, MAX_CHARS = 24, 80
 _CONTEXT = 24  # characters on both sides of what may belong to an entity
 
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _EMAIL_RUN = re.compile(r"[A-Za-z0-9._%+@-]*")
 _NOT_EMAIL = re.compile(r"[^A-Za-z0-9._%+@-]")
 _IP_RUN = re.compile(r"[0-9][0-9.]*")
@@ -56,21 +58,41 @@ def luhn(digits: str) -> bool:
     return sum(doubled) % 10 == 0
 
 
+def _run_start(text: str, at: int, least: int) -> int:
+    """Where the run of address characters around `at` begins, at `least` or later; reads the run only."""
+    begin, size = at, 64
+    while begin > least:
+        low = max(least, begin - size)
+        begin -= _EMAIL_RUN.match(text[low:begin][::-1]).end()
+        if begin > low:
+            break
+        size *= 2
+    return begin
+
+
+def _emails(text: str, begin: int, end: int) -> list[Span]:
+    """Addresses in a run of their characters: all before a sign may belong to the first part, so one look a sign is enough."""
+    found: list[Span] = []
+    start, at = begin, text.find("@", begin, end)
+    while at >= 0:
+        domain = _DOMAIN.match(text, at + 1, end) if at > start else None
+        start = domain.end() if domain else at + 1
+        if domain:
+            found.append(("email", begin, start))
+        begin = start
+        at = text.find("@", start, end)
+    return found
+
+
 def base_spans(text: str) -> list[Span]:
     """Pattern matches, leftmost and non-overlapping for each kind, in the order of start and kind."""
     found: list[Span] = []
-    at = text.find("@")
+    at, done = text.find("@"), 0
     while at >= 0:  # a match lies within a run of its characters
-        before = _EMAIL_RUN.match(text[at::-1]) if at < 64 else _EMAIL_RUN.match(text[at : at - 64 : -1])
-        begin = at + 1 - before.end()
-        while before.end() == 64 and begin:  # a long run
-            more = _EMAIL_RUN.match(text[begin - 1 :: -1])
-            begin -= more.end()
-            break
         stop = _NOT_EMAIL.search(text, at)
         end = stop.start() if stop else len(text)
-        found += [("email", begin + m.start(), begin + m.end()) for m in _EMAIL.finditer(text[begin:end])]
-        at = text.find("@", end)
+        found += _emails(text, _run_start(text, at, done), end)
+        at, done = text.find("@", end), end
     for run in _IP_RUN.finditer(text):
         if run[0].count(".") >= 3:
             for m in _IP.finditer(run[0]):
@@ -115,7 +137,7 @@ def features(text: str, a: int, b: int) -> np.ndarray | None:
     out[0] = 1
     out[1 + sum(n >= k for k in (1, 4, 8, 10, 12, 14, 17, 20))] = 1  # 1 .. 9
     dotted = [p for p in span.split(".")]
-    quad = len(dotted) == 4 and all(p.isdigit() for p in dotted)
+    quad = len(dotted) == 4 and all(p.isascii() and p.isdigit() for p in dotted)
     out[10], out[11], out[12] = sign, quad, quad and all(len(p) < 4 and int(p) < 256 for p in dotted)
     out[13], out[14], out[15] = span[0] == "+", "(" in span, "-" in span or " " in span
     out[16], out[17] = 13 <= n <= 19 and luhn(digits), letters
@@ -281,15 +303,29 @@ def train(texts: list[str], rounds: int = ROUNDS) -> Field:
     return field
 
 
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the parts of a text that spans, given in order, cover."""
+    starts, ends = [], []
+    for _, a, b in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """Pattern matches, and these together with the field's spans that meet none of them."""
     base = base_spans(text)
     more: list[Span] = []
+    starts, ends = _covered(base)
     for begin, end in stretches(text):
         stretch = candidates(text, begin, end)
         for i, j, kind in field.best(stretch):
             a, b = stretch.borders[i], stretch.borders[j]
-            if not any(x < b and a < y for _, x, y in base):
+            before = bisect.bisect_left(starts, b) - 1
+            if before < 0 or ends[before] <= a:
                 more.append((KINDS[kind], a, b))
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -311,8 +347,8 @@ def find_spans(docs: DataFrame) -> DataFrame:
     """For each row: doc_id, base and spans (kind:start:end by start and kind, comma-joined; code
     points, the end exclusive), and n_<kind> counting the base spans.
 
-    Null and empty texts have no spans.  Repeated rows are searched one by one; columns other than
-    doc_id and text are not read.
+    Null and empty texts have no spans.  Repeated rows are searched one by one; a very long text is
+    searched whole, in time that grows with its length; columns other than doc_id and text are not read.
     """
     field = docs.sparkSession.sparkContext.broadcast(train(sample_texts(docs)))
 
