@@ -40,11 +40,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding the ids gives the text again."""
     common.ship(spark)
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode(docs, path).select("doc_id", "ids", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
-    return pieces.decode(encoded, path).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("sha")).alias("round_trip")
-    )
+    coded = pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [
