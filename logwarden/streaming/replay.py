@@ -155,7 +155,8 @@ def run_slices(
         make_folder(session, wire)
     for k in range(slices):
         now = waiting.where(F.col("slice") == k).select("topic", "value")
-        now.write.mode("append").partitionBy("topic").text(f"{folder}/wire")
+        arrived = now.write.mode("append").option("compression", "gzip").partitionBy("topic")
+        arrived.text(f"{folder}/wire")
         arriving = {topic: file_messages(session, wire) for topic, wire in wires.items()}
         _finish([start_ingest(arriving[t], t, config, trigger) for t in topics], trigger)
         queries = []
