@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.llm import common
@@ -23,8 +23,8 @@ from logwarden.llm import common
 KEPT = 64
 #: Names of this level and above are kept; a level-2 phrase has some nine characters.
 LOWEST = 2
-#: Rows of one bucket in the order of ids.
-BUCKET_ROWS = 4000
+#: Rows of one range in the order of ids.
+BUCKET_ROWS = 16_000
 #: Code points parsed together; their arrays fit a processor's cache.
 _CHUNK = 50_000
 _ROUNDS = 4  # 64-bit names come down to six labels
@@ -130,68 +130,63 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return common.map_arrow(docs, ["doc_id", "text"], run, "doc_id bigint, fingerprint string")
 
 
-def _bucket(bounds: list[int]) -> Column:
-    """The number of ascending bounds that are at most doc_id, by bisection with a fan of 64."""
-    steps, size = [], 1
-    while size < len(bounds) + 1:
-        steps.append(size)
-        size *= 64
-    array = F.lit(bounds).cast("array<bigint>") if bounds else F.array().cast("array<bigint>")
-    def within(at: Column, step: int) -> Column:
-        """at, moved on by the strides whose last bound is at most doc_id"""
-        fan = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda k: F.get(array, at + k * step - 1))
-        return at + step * F.size(F.filter(fan, lambda x: x <= F.col("doc_id")))
+#: A row of the table of all comparisons; where a range begins or ends also a row with the text of this row alone.
+_RESULT = "doc_id bigint, n_chars bigint, edited_sha256 string, own binary, edited binary, near_edited double, near_next double"
+_WORK = _RESULT + ", part int, border string, text string"
 
-    at = F.lit(0)
-    for step in reversed(steps):
-        at = within(at, step)
-    return at.cast("int")
 
+def _compared(rows: list[tuple[int | None, str, np.ndarray, str, np.ndarray]]) -> list[pa.Array]:
+    """Columns of the result from doc_id, text and fingerprint of each row, and text and fingerprint of the next."""
+    edited = [text[: len(text) - len(text) // 4] + after[: len(text) // 4] for _, text, _, after, _ in rows]
+    marks = fingerprints(edited)
+    return [
+        pa.array([r[0] for r in rows], pa.int64()),
+        pa.array([len(r[1]) for r in rows], pa.int64()),
+        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited], pa.string()),
+        pa.array([r[2].astype(">u4").tobytes() for r in rows], pa.binary()),
+        pa.array([x.astype(">u4").tobytes() for x in marks], pa.binary()),
+        pa.array([likeness(r[2], x) for r, x in zip(rows, marks, strict=True)], pa.float64()),
+        pa.array([likeness(r[2], r[4]) for r in rows], pa.float64()),
+    ]
 
-def _compare(first_text: str) -> object:
-    """Rows come in the order of bucket, place and id; each meets the row after it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first_mark = fingerprints([first_text])[0]
-        held = None  # the last row, which waits for its next: bucket, own, doc_id, text, fingerprint
-
-        def out(rows: list) -> pa.RecordBatch:
-            """rows: (row, next text, next fingerprint)"""
-            edited = []
-            for (_, _, _, text, _), after, _ in rows:
-                take = len(text) // 4
-                edited.append(text[: len(text) - take] + after[:take])
-            marks = fingerprints(edited)
-            own = [r[4] for r, _, _ in rows]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[2] for r, _, _ in rows], pa.int64()),
-                    pa.array([len(r[3]) for r, _, _ in rows], pa.int64()),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in edited]),
-                    pa.array(_shown(own)),
-                    pa.array(_shown(marks)),
-                    pa.array([likeness(a, b) for a, b in zip(own, marks, strict=True)], pa.float64()),
-                    pa.array([likeness(a, n) for a, (_, _, n) in zip(own, rows, strict=True)], pa.float64()),
-                ],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
-            )
+_NAMES = ["doc_id", "n_chars", "edited_sha256", "own", "edited", "near_edited", "near_next"]
 
-        for batch in common.slices(batches):
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            fields = [batch.column(c).to_pylist() for c in ("bucket", "own", "doc_id")]
-            rows = list(zip(*fields, texts, fingerprints(texts), strict=True))
-            rows, ready = ([held] if held else []) + rows, []
-            for row, after in zip(rows, rows[1:], strict=False):
-                if row[1]:
-                    same = row[0] == after[0] and row[0] >= 0
-                    ready.append((row, after[3], after[4]) if same else (row, first_text, first_mark))
-            held = rows[-1]
-            if ready:
-                yield out(ready)
-        if held and held[1]:
-            yield out([(held, first_text, first_mark)])
-
-    return run
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row of a sorted range meets the row after it; the first and the last row are named as borders."""
+    held, part = None, None  # the last row, which waits for its next
+
+    def out(columns: list[pa.Array], border: str | None, text: str | None) -> pa.RecordBatch:
+        n = len(columns[0])
+        more = [pa.array([part] * n, pa.int32()), pa.array([border] * n, pa.string()), pa.array([text] * n, pa.string())]
+        return pa.RecordBatch.from_arrays([*columns, *more], [*_NAMES, "part", "border", "text"])
+
+    def edge(row: tuple, border: str) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
+        return out([pa.array([row[0]], pa.int64()), *(pa.nulls(1, kind) for kind in kinds)], border, row[1])
+
+    for batch in common.slices(batches):
+        texts = [x or "" for x in batch.column("text").to_pylist()]
+        rows = list(zip(batch.column("doc_id").to_pylist(), texts, fingerprints(texts), strict=True))
+        if held is None:
+            part = batch.column("part")[0].as_py()
+            yield edge(rows[0], "first")
+        else:
+            rows = [held, *rows]
+        held = rows[-1]
+        if len(rows) > 1:
+            yield out(_compared([(*row, *after[1:]) for row, after in zip(rows, rows[1:], strict=False)]), None, None)
+    if held is not None:
+        yield edge(held, "last")
+
+
+def _compare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As `_compare`, of rows that come with the text of the next."""
+    for batch in common.slices(batches):
+        texts, after = ([x or "" for x in batch.column(c).to_pylist()] for c in ("text", "after"))
+        rows = zip(batch.column("doc_id").to_pylist(), texts, fingerprints(texts), after, fingerprints(after), strict=True)
+        yield pa.RecordBatch.from_arrays(_compared(list(rows)), _NAMES)
 
 
 def compare_with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -200,30 +195,33 @@ def compare_with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFr
     The edited text has the last quarter of the code points replaced by as many from the beginning
     of the next document, in the order of doc_id (after the last, the first).  Rows of one doc_id
     follow each other in the order of their texts.  A row without a doc_id is next to none and has
-    the first document as its next.  A null text is empty.  Columns other than doc_id and text are
-    not read.
+    the first document as its next.  A null text is empty; a very long one is parsed in one pass,
+    whole.  An empty table gives no rows.  Columns other than doc_id and text are not read.
 
-    Buckets of neighbouring ids are processed apart; each also gets the first row of the next.
+    The rows are sorted into ranges of about `bucket_rows` rows, by one shuffle, and each range is
+    compared as it streams by.  Only its last row needs another range: these rows, one for each
+    range, are joined with the first rows of the ranges.  Rows of one doc_id are split among ranges
+    by the beginning of their texts; rows equal in both lie in one range, sorted on disk if need be.
     """
-    rows = docs.select("doc_id", "text")
-    total, least = rows.agg(F.count("doc_id"), F.min("doc_id")).first()
-    n = max(1, -(-total // bucket_rows))
-    bounds = []
-    if n > 1:
-        cuts = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10 * n)).first()[0]
-        bounds = sorted({c for c in cuts if c > least})
-    heads = rows.where("doc_id IS NOT NULL").groupBy(_bucket(bounds).alias("b")).agg(F.min("doc_id").alias("head")).orderBy("b").collect()
-    before = [(r.head, p.b) for p, r in zip(heads, heads[1:], strict=False)]
-    first_text = rows.where(F.col("doc_id") == F.lit(least)).agg(F.min(F.coalesce("text", F.lit("")))).first()[0] or ""
-    at = F.when(F.col("doc_id").isNull(), -1 - F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")).otherwise(_bucket(bounds))
-    own = rows.withColumn("bucket", at).withColumn("own", F.lit(True))
-    if before:
-        ids, buckets = F.lit([h for h, _ in before]), F.lit([b for _, b in before])
-        place = F.array_position(ids, F.col("doc_id"))
-        extra = rows.where(place > 0).withColumn("bucket", F.element_at(buckets, place.cast("int"))).withColumn("own", F.lit(False))
-        own = own.union(extra)
-    dealt = own.repartition(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", F.col("own").desc(), "doc_id", F.coalesce("text", F.lit("")))
-    schema = (
-        "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    )
-    return dealt.mapInArrow(_compare(first_text), schema)
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    total, lost = rows.agg(F.count("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
+    parts = max(1, -(-total // bucket_rows))
+    ranged = rows.where("doc_id IS NOT NULL").repartitionByRange(parts, "doc_id", F.substring("text", 1, 32))
+    ranged = ranged.sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
+    folder = common.work_folder(spark, "phrases")
+    ranged.mapInArrow(_compare, _WORK).write.parquet(folder)
+    work = spark.read.schema(_WORK).parquet(folder)
+    first = work.where("border = 'first'").select(F.col("part").alias("next"), F.col("text").alias("after"))
+    n, most = first.agg(F.count("*"), F.max("next")).first()
+    if n and n != most + 1:  # a bound of a range is a row of it, so only ranges after the last row are empty
+        raise RuntimeError(f"{n} of {most + 1} ranges have rows")
+    last = work.where("border = 'last'").select("doc_id", "text", ((F.col("part") + 1) % F.lit(max(n, 1))).alias("next"))
+    pairs = last.join(first, "next").select("doc_id", "text", "after")
+    result = work.where("border IS NULL").select(*_NAMES).union(pairs.mapInArrow(_compare_pairs, _RESULT))
+    if lost:
+        opening = first.where("next = 0").first()  # one document
+        without = rows.where("doc_id IS NULL").withColumn("after", F.lit(opening.after if opening else ""))
+        result = result.union(without.mapInArrow(_compare_pairs, _RESULT))
+    shown = {"fingerprint": F.lower(F.hex("own")), "edited_fingerprint": F.lower(F.hex("edited"))}
+    return result.select("doc_id", "n_chars", "edited_sha256", *(c.alias(k) for k, c in shown.items()), "near_edited", "near_next")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from itertools import groupby
 from math import ceil
 
 import numpy as np
@@ -228,6 +229,56 @@ def test_phrases_compare_with_the_next_document(docs, no_docs, bucket_rows):
     assert phrases.compare_with_next(no_docs).count() == 0
 
 
+def parsed(text):
+    """Names of each level by plain integers, one text at a time."""
+    base, whole = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+    def mixed(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = ((x ^ x >> shift) * factor) & whole
+        return x ^ x >> 31
+
+    names, out = [ord(c) for c in text], []
+    while names and (not out or len(names) > 1):
+        runs = [(n, len(list(same))) for n, same in groupby(names)]
+        names = [n if k == 1 else mixed((n + k) & whole) if out else n | k << 21 for n, k in runs]
+        label = names
+        for _ in range(4):
+            bits = [0] + [((x ^ y) & -(x ^ y)).bit_length() - 1 for x, y in zip(label[1:], label, strict=False)]
+            label = [2 * b + (x >> b & 1) for x, b in zip(label, bits, strict=True)]
+        cuts = [0] + [k for k in range(2, len(label) - 1) if label[k - 1] < label[k] > label[k + 1]] + [len(label)]
+        names = [mixed((sum(v * pow(base, k, 1 << 64) for k, v in enumerate(names[a:b])) + b - a) & whole) for a, b in zip(cuts, cuts[1:], strict=False)]
+        out.append(names)
+    return out
+
+
+def kept_of(text):
+    levels = parsed(text)
+    return sorted({n >> 32 for k, names in enumerate(levels, 1) for n in names if k >= 2 or len(names) == 1})[:64]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab \n\u00e9\U0001f389") | st.characters(exclude_categories=["Cs"]), max_size=80), min_size=1, max_size=4), st.integers(1, 3000))
+def test_parsing_and_likeness_equal_brute_force(texts, times):
+    texts = [*texts, "a" * times + texts[0]]
+    marks = phrases.fingerprints(texts)
+    assert [m.tolist() for m in marks] == [kept_of(t) for t in texts]
+    for a, b in zip(texts, texts[1:], strict=False):
+        first, second = kept_of(a), kept_of(b)
+        union = sorted({*first, *second})[:64]
+        expected = sum(x in first and x in second for x in union) / len(union) if union else 1.0
+        assert abs(phrases.likeness(*phrases.fingerprints([a, b])) - expected) < 1e-12
+
+
+def test_phrases_of_a_very_long_text_and_of_one_id(spark):
+    long = "".join(random.Random(5).choices("abcdefgh ", k=3_000_000))
+    rows = [(k // 6, f"{k * 7 % 10} text {'x' * k}") for k in range(60)] + [(4, long), (4, long)]
+    found = phrases.compare_with_next(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), 5).collect()
+    rows.sort()
+    expected = [(i, len(t), phrases.likeness(*phrases.fingerprints([t, rows[(k + 1) % len(rows)][1]]))) for k, (i, t) in enumerate(rows)]
+    assert sorted((r.doc_id, r.n_chars, r.near_next) for r in found) == sorted(expected)
+
+
 def quality_table(spark, n=400):
     rng, rows, labels = random.Random(9), [], []
     for k in range(n):
