@@ -1,8 +1,10 @@
 """Operators that look at one text at a time, against brute force or the library they must equal."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 from itertools import groupby
 from math import ceil
 
@@ -12,6 +14,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logwarden.llm import decontaminate, licenses, phrases, pieces, pii, quality, token_counts
@@ -308,3 +311,56 @@ def test_quality_on_documents_kept_aside(spark, docs, no_docs):
         assert quality.good_documents(docs, few).count() == docs.count()
     assert quality.score_documents(no_docs, labels).count() == 0
     assert quality.score_documents(docs, labels).count() == docs.count()
+
+
+def test_what_the_pool_teaches_equals_brute_force(spark, docs):
+    table, _, _ = quality_table(spark, 120)
+    every = docs.select(table.columns).union(table)
+    pool = quality.Pool(every, {3, 117})
+    rows = [r for r in every.collect() if r.doc_id not in (3, 117)]
+    cells = [int(quality.page_cells([(r.text or "").encode()], [r.source], [r.lang])[0]) for r in rows]
+    assert {c: int(n) for c, n in enumerate(pool.cells) if n} == Counter(cells)
+    rng = np.random.default_rng(4)
+    content, platt = quality.Content(rng.normal(size=quality._TABLE), rng.normal(size=quality._LAYOUT + 2)), np.array([0.7, 0.2])
+    bins = [quality.layout_bins([(r.text or "").encode()])[0].tolist() for r in rows]
+    slots = [quality.content_tokens([(r.text or "").encode()])[0].tolist() for r in rows]
+    numbers = [[quality._SLOTS + k * quality._BINS + b for k, b in enumerate(row)] for row in bins]
+    raw = []
+    for tokens, row in zip(slots, numbers, strict=True):
+        parts = [sum(content.table[t] for t in tokens) / max(len(tokens), 1), *content.table[row], 1.0]
+        raw.append(sum(a * b for a, b in zip(parts, content.weights, strict=True)) * platt[0] + platt[1])
+    sure = math.log(quality.SURE / (1 - quality.SURE))
+    for wanted in ((1.0, 1.0), (10.0, 4.0), (1e9, 1e9)):
+        at = pool.surest(content, platt, wanted)
+        for side, bound, most in ((raw, at[0], wanted[0]), ([-x for x in raw], at[1], wanted[1])):
+            reached = sum(x >= bound for x in side)
+            # As many as wanted, or all that are sure; with one step less there are too few.
+            assert reached >= most or abs(bound - sure) < 1e-9
+            assert sum(x >= bound + quality._STEP + 1e-9 for x in side) < max(most, 1)
+    good, bad = (np.isin(np.arange(quality._CELLS), part) for part in (cells[::2], cells[1::5]))
+    at = (0.1, 0.3)
+    taught = pool.taught(content, platt, at, good, bad)
+    for marked, sums in ((good, taught[0]), (bad, taught[1])):
+        total = Counter()
+        for cell, tokens, row in zip(cells, slots, numbers, strict=True):
+            if marked[cell]:
+                for t, n in Counter(tokens).items():
+                    total[t] += round(n / len(tokens) * quality._UNIT)
+                total.update(dict.fromkeys(row, quality._UNIT))
+        assert {k: int(n) for k, n in enumerate(sums) if n} == {k: n for k, n in total.items() if n}
+    for side, bound, sums in ((raw, at[0], taught[2]), ([-x for x in raw], at[1], taught[3])):
+        assert {k: int(n) for k, n in enumerate(sums) if n} == Counter(c for c, x in zip(cells, side, strict=True) if x >= bound)
+
+
+def test_rare_labels_repeated_ids_and_a_very_long_text(spark):
+    table, labels, truth = quality_table(spark)
+    long = "GREEN!! STONE$$$ " * 150_000
+    more = [(900, long, "en", "s1", None), (901, long[:2_000_000].lower().replace("!!", "").replace("$$$", ""), "en", "s1", None)]
+    more += [(2, "river stone", "en", "s2", None)] * 50 + [(None, None, None, None, None), (902, "", None, None, 0)]
+    every = table.union(spark.createDataFrame(more, table.schema))
+    # One labelled document in thirty is bad; the sample takes as many of each class as there are, up to half.
+    bad = [i for i, good in truth.items() if not good and i % 2 == 0][:7]
+    few = labels.where(F.col("quality") == 1).union(labels.where(F.col("doc_id").isin(bad)))
+    scored = {r.doc_id: r.keep for r in quality.score_documents(every, few).collect()}
+    assert not scored[900] and scored[901] and quality.score_documents(every, few).count() == every.count()
+    assert sum(scored[i] == good for i, good in truth.items()) >= 0.95 * len(truth)
