@@ -39,6 +39,8 @@ _LAYOUT, _BINS = 12, 32
 _TABLE = _SLOTS + _LAYOUT * _BINS
 #: Fixed value: characters counted as symbols in the layout.
 _SYMBOLS = b"$%&#*|!~^=<>{}[]\\@_+"
+#: Bytes of text taken at a time.
+_SLICE = 1 << 19
 #: Hashed sources and languages, and sizes by power of two; a cell of the page view is one of each.
 _SOURCES, _LANGUAGES, _SIZES = 64, 32, 32
 _CELLS = _SOURCES * _LANGUAGES * _SIZES
@@ -131,6 +133,14 @@ def page_weights(good: np.ndarray, bad: np.ndarray, ridge: float = 1.0) -> np.nd
     return w
 
 
+def _bin_numbers(layout: np.ndarray) -> np.ndarray:
+    return _SLOTS + np.arange(_LAYOUT) * _BINS + layout.reshape(-1, _LAYOUT).astype(np.int64)
+
+
+def _ratios(tokens: np.ndarray, layout: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return np.column_stack((tokens, table[_bin_numbers(layout)], np.ones(len(tokens))))
+
+
 @dataclass
 class Bag:
     """Features of some documents: slots and their counts, where each document begins, its cell and layout."""
@@ -157,7 +167,7 @@ class Bag:
 
     def _binned(self) -> np.ndarray:
         """The number of each layout feature's bin, a row for each document."""
-        return _SLOTS + np.arange(_LAYOUT) * _BINS + self.layout.reshape(-1, _LAYOUT).astype(np.int64)
+        return _bin_numbers(self.layout)
 
     def shares(self, which: np.ndarray) -> np.ndarray:
         """Sum over the chosen documents of the share of each slot in a document and of the bins, in units."""
@@ -170,8 +180,7 @@ class Bag:
     def ratios(self, table: np.ndarray) -> np.ndarray:
         """Of each document the mean log-ratio of its tokens, those of its bins, and a one."""
         owner, size = self._sizes()
-        tokens = np.bincount(owner, self.count * table[self.slot], len(self.cell)) / size
-        return np.column_stack((tokens, table[self._binned()], np.ones(len(self.cell))))
+        return _ratios(np.bincount(owner, self.count * table[self.slot], len(self.cell)) / size, self.layout, table)
 
     def score(self, content: Content) -> np.ndarray:
         return self.ratios(content.table) @ content.weights
@@ -185,7 +194,16 @@ class Content:
     weights: np.ndarray
 
 
-_POOL_KINDS = ("<u2", "<i8", "<i8", "<i8", "u1")
+#: Numbers of one block of a sum, and tasks that add blocks up.
+_BLOCK, _SUMMERS = 1 << 14, 8
+
+
+def _block(k: int, numbers: np.ndarray) -> pa.RecordBatch:
+    blob, size = common.pack([numbers])
+    return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([blob], pa.binary()), pa.array([size], pa.int64())], ["k", "blob", "size"])
+
+
+_POOL_KINDS = ("<u2", "<i4", "<i4", "<i4", "u1")
 
 
 class Pool:
@@ -195,21 +213,21 @@ class Pool:
         skipped = pa.array(sorted(without), pa.int64())
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in common.slices(batches, limit=1 << 20):
+            for batch in common.slices(batches, limit=_SLICE):
                 batch = batch.filter(pc.invert(pc.is_in(batch.column("doc_id"), value_set=skipped)))
                 if batch.num_rows:
                     bag = Bag.of(batch)
-                    blob, size = common.pack([bag.slot, bag.count, bag.begin, bag.cell, bag.layout])
+                    blob, size = common.pack([bag.slot, *(x.astype(np.int32) for x in (bag.count, bag.begin, bag.cell)), bag.layout])
                     yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary()), pa.array([size], pa.int64())], ["blob", "size"])
 
         spark = docs.sparkSession
         folder = common.work_folder(spark, "quality")
         common.map_arrow(docs, ["doc_id", "text", "source", "lang"], features, "blob binary, size bigint").write.parquet(folder)
         self.rows = spark.read.schema("blob binary, size bigint").parquet(folder)
-        self.cells = self._sums(lambda bag: np.bincount(bag.cell, minlength=_CELLS)[None])[0]
+        self.cells = self._sums(lambda bag: np.bincount(bag.cell, minlength=_CELLS)[None], _CELLS)[0]
 
-    def _sums(self, function: object) -> np.ndarray:
-        """The sum over the pool of a table of whole numbers made from each slice; its size does not depend on the pool."""
+    def _sums(self, function: object, width: int) -> np.ndarray:
+        """The sum over the pool of a table of whole numbers, rows of `width`, made from each slice."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
@@ -217,15 +235,28 @@ class Pool:
                 for blob, size in zip(batch.column("blob").to_pylist(), batch.column("size").to_pylist(), strict=True):
                     part = function(Bag(*common.unpack(blob, size, _POOL_KINDS)))
                     total = part if total is None else total + part
-            if total is not None:
-                row, column = np.nonzero(total)
-                arrays = [pa.array(row.astype(np.int32)), pa.array(column.astype(np.int32)), pa.array(total[row, column].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, ["i", "j", "n"])
+            for k in range(-(-total.size // _BLOCK)) if total is not None else ():
+                block = total.ravel()[k * _BLOCK : (k + 1) * _BLOCK].astype(np.int64)
+                if block.any():
+                    yield _block(k, block)
 
-        got = self.rows.mapInArrow(run, "i int, j int, n bigint").groupBy("i", "j").agg(F.sum("n").alias("n")).toArrow()
-        out = np.zeros((4, max(_TABLE, _CELLS, _STEPS)), np.int64)
-        out[got["i"].to_numpy(), got["j"].to_numpy()] = got["n"].to_numpy()
-        return out
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for row in batch.to_pylist():
+                    (block,) = common.unpack(row["blob"], row["size"], ("<i8",))
+                    sums[row["k"]] = sums.get(row["k"], 0) + block
+            for k, block in sums.items():
+                yield _block(k, block)
+
+        # A task sends its table in blocks; each block is added up in one task, as its rows stream by.
+        sent = self.rows.mapInArrow(run, "k int, blob binary, size bigint")
+        got = sent.repartition(_SUMMERS, "k").mapInArrow(add, "k int, blob binary, size bigint").toArrow().to_pylist()
+        out = np.zeros(-(-4 * width // _BLOCK) * _BLOCK, np.int64)
+        for row in got:
+            (block,) = common.unpack(row["blob"], row["size"], ("<i8",))
+            out[row["k"] * _BLOCK : row["k"] * _BLOCK + len(block)] += block
+        return out[: 4 * width].reshape(4, width)
 
     def surest(self, content: Content, platt: np.ndarray, wanted: tuple[float, float]) -> tuple[float, float]:
         """From which log-odds on the content view is among the `wanted` surest that documents are good, and bad."""
@@ -236,7 +267,7 @@ class Pool:
             return np.stack([np.bincount(x, minlength=_STEPS) for x in sides])
 
         return tuple(
-            _SURE_AT + _STEP * _reached(counts[:_STEPS], most) for counts, most in zip(self._sums(steps)[:2], wanted, strict=True)
+            _SURE_AT + _STEP * _reached(counts[:_STEPS], most) for counts, most in zip(self._sums(steps, _STEPS)[:2], wanted, strict=True)
         )
 
     def taught(self, content: Content, platt: np.ndarray, at: tuple[float, float], good: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -251,7 +282,7 @@ class Pool:
                 out[2 + k, :_CELLS] = np.bincount(bag.cell[side], minlength=_CELLS)
             return out
 
-        sums = self._sums(learn)
+        sums = self._sums(learn, max(_TABLE, _CELLS))
         return sums[0, :_TABLE], sums[1, :_TABLE], sums[2, :_CELLS], sums[3, :_CELLS]
 
 
@@ -357,7 +388,7 @@ def co_train(bag: Bag, label: np.ndarray, weight: np.ndarray, pool: Pool, rounds
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in common.slices(batches):
+    for batch in common.slices(batches, limit=_SLICE):
         bag = Bag.of(batch)
         begin = pa.array(bag.begin.astype(np.int32))
         slot, count = (pa.ListArray.from_arrays(begin, pa.array(x.astype(np.int32))) for x in (bag.slot, bag.count))
@@ -395,8 +426,13 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model
 
 
 def _judge(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    bag = Bag.of(batch)
-    return model.scores(bag.score(model.content) if model.usable else np.zeros(batch.num_rows), bag.cell)
+    texts, n = common.text_bytes(batch.column("text")), batch.num_rows
+    content = np.zeros(n)
+    if model.usable:
+        slot, owner = content_tokens(texts)
+        tokens = np.bincount(owner, model.content.table[slot], n) / np.maximum(np.bincount(owner, minlength=n), 1)
+        content = _ratios(tokens, layout_bins(texts), model.content.table) @ model.content.weights
+    return model.scores(content, page_cells(texts, batch.column("source").to_pylist(), batch.column("lang").to_pylist()))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -409,7 +445,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, limit=1 << 20):
+        for batch in common.slices(batches, limit=_SLICE):
             content, page, both = _judge(model.value, batch)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(content), pa.array(page), pa.array(both), pa.array(both >= threshold)],
@@ -428,7 +464,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, limit=1 << 20):
+        for batch in common.slices(batches, limit=_SLICE):
             yield batch.filter(pa.array(_judge(model.value, batch)[2] >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)
