@@ -424,7 +424,8 @@ ORACLE: dict[str, str] = {
     ),
     "q_alerts_by_severity": _from_alerts(
         """SELECT severity, count(*) AS count FROM all_alerts GROUP BY severity
-        ORDER BY list_position(['LOW', 'MED', 'HIGH', 'CRIT'], severity)"""
+        ORDER BY CASE severity WHEN 'LOW' THEN 1 WHEN 'MED' THEN 2
+                               WHEN 'HIGH' THEN 3 WHEN 'CRIT' THEN 4 END"""
     ),
     "q_events_over_time": _from_stats(
         f"""SELECT window_start AS "time", {_topic_sum("event_count", "auth")},

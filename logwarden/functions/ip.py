@@ -9,6 +9,8 @@ from __future__ import annotations
 import ipaddress
 from collections import defaultdict
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,12 +46,12 @@ COUNTRY_BY_PREFIX = {
 SERVER_NETWORK = "10.0.0.0/24"
 EMPLOYEE_NETWORK = "192.168.1.0/24"
 PRIVATE_NETWORKS = ("10.0.0.0/8", "172.16.0.0/12", "192.168.0.0/16")
+PRIVATE_PREFIXES = ("10.", "192.168.", *(f"172.{octet}." for octet in range(16, 32)))
 WATCHED_PORTS = (23, 445, 1433, 3389, 4444, 5900, 6666, 31337)
 
 UNKNOWN_COUNTRY = "UNKNOWN"
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_PRIVATE_PREFIX = r"^(10|192\.168|172\.(1[6-9]|2\d|3[01]))\."
 _DOTTED_QUAD = rf"\A{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
 
 
@@ -81,7 +83,7 @@ def in_networks(number: Column, cidrs: Iterable[str]) -> Column:
 
 def is_private_text(ip: Column) -> Column:
     """RFC 1918 test on the text form, as the rules apply it (no validity check)."""
-    return ip.rlike(_PRIVATE_PREFIX)
+    return reduce(or_, (ip.startswith(prefix) for prefix in PRIVATE_PREFIXES))
 
 
 def country_of(ip: Column, prefixes: Mapping[str, str] = COUNTRY_BY_PREFIX) -> Column:
