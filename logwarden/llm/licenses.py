@@ -38,7 +38,7 @@ TEMPLATES = (
 )
 #: Share of a template's distinct words that a block must hold.
 CONTAINMENT = 0.8
-#: Words of a block, and from one block to the next; a place of up to 33 words lies within one block.
+#: Least words of a block, and from one block to the next (see `block_words`).
 BLOCK, STRIDE = 64, 32
 #: Templates are small by nature; their words go to every executor.
 MAX_TEMPLATE_WORDS = 20_000
@@ -57,6 +57,16 @@ def _texts(values: list[str]) -> Column:
     return F.array(*map(F.lit, values))
 
 
+def block_words(templates: tuple[tuple[str, str], ...]) -> tuple[int, int]:
+    """Words of a block, and from one block to the next.
+
+    Blocks begin at least as far apart as the longest template is long and overlap by half, so every
+    place of a template, whole or with a word more than it, lies within one block.
+    """
+    stride = max([STRIDE, *(len(re.findall(WORD, text.lower())) for _, text in templates)])
+    return max(BLOCK, 2 * stride), stride
+
+
 def places(column: str, phrase: str) -> Column:
     """Starts of the places where the words of the phrase stand consecutively, words from 0."""
     parts, all_words = phrase.split(" "), F.col(column)
@@ -98,6 +108,7 @@ def _probed(docs: DataFrame, templates: tuple[tuple[str, str], ...], containment
     """Each row of `docs` under an id, with its counts and places, once for each candidate pair of one of
     its blocks and a template (and once if there is none); containment is null for a pair below the threshold."""
     spark = docs.sparkSession
+    length, stride = block_words(templates)
     sets = [sorted(set(re.findall(WORD, text.lower()))) for _, text in templates]
     vocabulary = sorted(set().union(*sets))
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
@@ -112,11 +123,11 @@ def _probed(docs: DataFrame, templates: tuple[tuple[str, str], ...], containment
 
     def known(start: Column) -> Column:
         """Ranks of the template words of a block, ascending; other words come last in the order and match nothing."""
-        block = F.array_intersect(F.slice("w", start + 1, BLOCK), _texts(vocabulary))
+        block = F.array_intersect(F.slice("w", start + 1, length), _texts(vocabulary))
         return F.array_sort(F.transform(block, lambda x: F.element_at(ranked, x)))
 
     rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", words(F.col("text")).alias("w"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(STRIDE))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("w") - 1, F.lit(0)), F.lit(stride))
     blocks = F.when(F.arrays_overlap("w", _texts(sorted(prefix_words))), F.transform(starts, known))
     spots = [places("w", phrase).alias(f"at_{label}") for phrase, label in PHRASES]
     rows = rows.select("id", "doc_id", F.size("w").cast("bigint").alias("n_words"), *spots, blocks.alias("blocks"))
@@ -135,7 +146,13 @@ def _probed(docs: DataFrame, templates: tuple[tuple[str, str], ...], containment
 
 
 def template_matches(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
-    """doc_id, block (its number), template (its number), label and containment of every match, once for each row of `docs`."""
+    """doc_id, block (its number), template (its number), label and containment of every match, once for each row of `docs`.
+
+    Blocks are those of `block_words`, over the whole text however long.  Null and empty texts match
+    nothing; of ties nothing is dropped: a block may match several templates, and a place in the half
+    that two blocks share matches in both.  Repeated rows match one by one; an empty table gives an
+    empty table; columns other than doc_id and text are not read.
+    """
     found = _probed(docs.select("doc_id", "text"), templates, containment).where("containment IS NOT NULL")
     return found.select("id", "doc_id", "block", "template", "label", "containment").distinct().drop("id")
 
@@ -146,7 +163,8 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, co
     n_base counts all places of PHRASES; first_word and last_word are their smallest and largest
     start, null without any.  labels adds the labels of matching templates.  score is the largest
     containment of a matching template, 1 where a phrase stands, else 0.  Null and empty texts have
-    no words; repeated rows are scanned one by one; columns other than doc_id and text are not read.
+    no words; very long texts are cut into blocks (`block_words`), none is left out; repeated rows
+    are scanned one by one; columns other than doc_id and text are not read.
     """
     every = F.concat(*(F.col(f"at_{label}") for _, label in PHRASES))
     named = F.array_compact(F.array(*(F.when(F.size(f"at_{label}") > 0, label) for _, label in PHRASES)))
