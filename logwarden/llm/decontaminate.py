@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.llm import common
@@ -138,14 +139,16 @@ def occurrences(
     return last[sure], row[sure]
 
 
-def _scan(tables: list[Broadcast]) -> object:
+def _scan(block: Broadcast) -> object:
+    """For each row its columns but the text, n_words, and the spans and items that the block's strings give it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
             data, start, end, first = words_of(common.text_bytes(batch.column("text")))
             words = common.hash_spans(data, start, end)
             cover = np.zeros(len(start) + 1, np.int32)
             found: list[set[str]] = [set() for _ in range(batch.num_rows)]
-            for strings in (s for block in tables for s in block.value):
+            for strings in block.value:
                 last, row = occurrences(data, start, end, first, strings, words)
                 np.add.at(cover, last - strings.length + 1, 1)
                 np.add.at(cover, last + 1, -1)
@@ -162,30 +165,75 @@ def _scan(tables: list[Broadcast]) -> object:
             spans: list[list[int]] = [[] for _ in range(batch.num_rows)]
             for doc, a, b in zip(owner.tolist(), low.tolist(), high.tolist(), strict=True):
                 spans[doc] += [a - int(first[doc]), b - int(first[doc])]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(first), pa.int64()),
-                    pa.array(spans, pa.list_(pa.int32())),
-                    pa.array([sorted(x) for x in found], pa.list_(pa.string())),
-                ],
-                ["doc_id", "n_words", "hit_spans", "items"],
-            )
+            kept = [c for c in batch.schema.names if c != "text"]
+            arrays = [pa.array(np.diff(first), pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array([sorted(x) for x in found], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *arrays], [*kept, "n_words", "hit_spans", "items"])
 
     return run
 
 
-def pattern_blocks(items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list[Broadcast]:
-    """Tables of all test strings, a broadcast for each block of at most about `block_bytes` of text."""
-    spark = items.sparkSession
-    rows = items.select(F.col("item_id").cast("string").alias("item"), F.col("text"))
+def pattern_blocks(items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[int, Iterator[list[Strings]]]:
+    """How many blocks of at most about `block_bytes` of distinct item rows there are, and the tables of
+    each in turn: the driver holds one block at a time."""
+    rows = items.select(F.col("item_id").cast("string").alias("item"), F.col("text")).distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // block_bytes) + 1
+    if n > 1:
+        rows = common.cut(rows)
     part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [
-        spark.sparkContext.broadcast(test_strings([tuple(r) for r in rows.where(part == k).collect()], window))
-        for k in range(n)
-    ]
+    return n, (test_strings([tuple(r) for r in rows.where(part == k).collect()], window) for k in range(n))
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans that meet or overlap become one."""
+    for batch in batches:
+        spans = []
+        for parts in batch.column("hit_spans").to_pylist():
+            low, high = np.array(parts, np.int64).reshape(-1, 2).T
+            order = np.argsort(low, kind="stable")
+            low, reach = low[order], np.maximum.accumulate(high[order])
+            new = np.flatnonzero(np.concatenate((np.ones(min(len(low), 1), bool), low[1:] > reach[:-1])))
+            last = np.append(new[1:], len(low))[: len(new)] - 1
+            spans.append(np.column_stack((low[new], reach[last])).ravel().astype(np.int32))
+        at = batch.schema.get_field_index("hit_spans")
+        yield batch.set_column(at, "hit_spans", pa.array(spans, pa.list_(pa.int32())))
+
+
+def content_key() -> Column:
+    """A digest of doc_id and text; rows that share it have the same outcome."""
+    text = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return F.sha2(text, 256)
+
+
+def _in_turn(docs: DataFrame, n: int, blocks: Iterator[list[Strings]]) -> DataFrame:
+    """key, doc_id, n_words, hit_spans and items of each row, by one pass over the texts for each block.
+
+    What a pass hits is written before the block is released, so one block at a time is on the
+    executors, and a lost executor needs no released block.  Of the rows that share a key one is
+    written, so at most one row a block meets per key.
+    """
+    context = docs.sparkSession.sparkContext
+    rows, schema = docs.select(content_key().alias("key"), "doc_id", "text"), "key string, doc_id bigint, " + _SCHEMA
+    written = []
+    for k, strings in enumerate(blocks):
+        block = context.broadcast(strings)
+        found = rows.mapInArrow(_scan(block), schema)
+        if k == n - 1:  # this block stays, the outcome is still to be read
+            break
+        written.append(common.cut(found.where(F.size("hit_spans") > 0).select("key", "hit_spans", "items").dropDuplicates(["key"])))
+        block.destroy()
+    others = reduce(DataFrame.union, written).groupBy("key").agg(
+        F.flatten(F.collect_list("hit_spans")).alias("more_spans"), F.flatten(F.collect_list("items")).alias("more_items")
+    )
+
+    def both(mine: str, more: str, kind: str) -> Column:
+        return F.concat(F.col(mine), F.coalesce(F.col(more), F.array().cast(kind)))
+
+    joined = found.join(others, "key", "left").select(
+        "key", "doc_id", "n_words", both("hit_spans", "more_spans", "array<int>").alias("hit_spans"),
+        F.array_sort(F.array_distinct(both("items", "more_items", "array<string>"))).alias("items"),
+    )
+    return joined.mapInArrow(_united, schema)
 
 
 def find_occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -194,12 +242,16 @@ def find_occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, bl
 
     Each item gives its windows of `window` words, or all its words if it has fewer; an item
     without words gives none.  A null text has no words; an item whose id is null makes hits but
-    is not named.  Repeated rows are judged one by one.  Columns other than doc_id, text and
-    item_id are not read.  Test strings are broadcast in blocks of bounded size; every document
-    is searched for every block.
+    is not named; a text may be of any length.  Repeated rows are judged one by one, repeated items
+    count once; of items that share a window all are named.  Without items nothing is hit, without
+    rows the outcome is empty.  Columns other than doc_id, text and item_id are not read.  Test
+    strings are broadcast in blocks of bounded size, one after another; every document is searched
+    for every block.
     """
-    blocks = pattern_blocks(items, window, block_bytes)
-    return common.map_arrow(docs, ["doc_id", "text"], _scan(blocks), "doc_id bigint, " + _SCHEMA)
+    n, blocks = pattern_blocks(items, window, block_bytes)
+    if n > 1:
+        return _in_turn(docs, n, blocks).drop("key")
+    return common.map_arrow(docs, ["doc_id", "text"], _scan(docs.sparkSession.sparkContext.broadcast(next(blocks))), "doc_id bigint, " + _SCHEMA)
 
 
 def judged(found: DataFrame, one_in: int = HIT_ONE_IN) -> DataFrame:
@@ -213,18 +265,31 @@ def judged(found: DataFrame, one_in: int = HIT_ONE_IN) -> DataFrame:
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, one_in: int = HIT_ONE_IN) -> DataFrame:
-    """The rows of `docs` that are not contaminated, with all their columns."""
-    blocks = pattern_blocks(items, window)
+def clean_documents(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, one_in: int = HIT_ONE_IN, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """The rows of `docs` that are not contaminated, with all their columns.
+
+    Null and empty texts, and all rows where there are no items, are clean.  Repeated rows stay or go
+    together; texts of any length are judged whole.  An empty table stays empty.
+    """
+    n, blocks = pattern_blocks(items, window, block_bytes)
+    if n > 1:
+        key = "key"
+        while key in docs.columns:
+            key += "_"
+        found = judged(_in_turn(docs, n, blocks), one_in)
+        bad = found.where("contaminated").select(F.col("key").alias(key)).distinct()
+        return docs.withColumn(key, content_key()).join(bad, key, "left_anti").select(*docs.columns)
+    scan = _scan(docs.sparkSession.sparkContext.broadcast(next(blocks)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            part = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column("text")], ["doc_id", "text"])
             mask = []
-            for judged_part in _scan(blocks)(iter([part])):
-                for n, spans in zip(judged_part["n_words"].to_pylist(), judged_part["hit_spans"].to_pylist(), strict=True):
+            for part in scan(iter([batch.select(["text"])])):
+                for n_words, spans in zip(part["n_words"].to_pylist(), part["hit_spans"].to_pylist(), strict=True):
                     hit = sum(spans[1::2]) - sum(spans[::2])
-                    mask.append(not (hit > 0 and one_in * hit >= n))
+                    mask.append(not (hit > 0 and one_in * hit >= n_words))
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

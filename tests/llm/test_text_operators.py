@@ -9,6 +9,7 @@ from itertools import groupby
 from math import ceil
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -19,6 +20,8 @@ from tokenizers import Tokenizer
 
 from logwarden.llm import decontaminate, licenses, phrases, pieces, pii, quality, token_counts
 
+from .conftest import prose
+
 A_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -63,6 +66,37 @@ def test_decontamination_in_blocks_and_kept_rows(spark, docs, no_docs):
     assert kept.schema == docs.schema and kept.count() == docs.count() - 1
     assert decontaminate.find_occurrences(no_docs, items).count() == 0
     assert decontaminate.clean_documents(docs, items.limit(0)).count() == docs.count()
+    in_turn = decontaminate.clean_documents(docs.withColumnRenamed("source", "key"), items, block_bytes=500)
+    assert in_turn.columns == [{"source": "key"}.get(c, c) for c in docs.columns]
+    assert sorted(map(tuple, in_turn.collect()), key=str) == sorted(map(tuple, kept.collect()), key=str)
+    assert decontaminate.find_occurrences(no_docs, items, block_bytes=500).count() == 0
+
+
+def test_repeated_items_make_one_block(spark):
+    items = spark.createDataFrame([(k % 2, prose(3, 40)) for k in range(300)], "item_id bigint, text string")
+    n, blocks = decontaminate.pattern_blocks(items, block_bytes=1 << 10)
+    assert n == 1 and len(next(blocks)[0].texts) == 28
+
+
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 9)), max_size=12))
+@settings(max_examples=60, deadline=None)
+def test_spans_of_blocks_unite(spans):
+    flat = [x for a, size in spans for x in (a, a + size)]
+    batch = pa.RecordBatch.from_arrays([pa.array([flat, []], pa.list_(pa.int32()))], ["hit_spans"])
+    found, none = next(decontaminate._united(iter([batch]))).column(0).to_pylist()
+    covered = {k for a, size in spans for k in range(a, a + size)}
+    edges = [k for k in range(41) if (k in covered) != (k - 1 in covered)]
+    assert found == edges and none == []
+
+
+@pytest.mark.parametrize("offset", [0, 31, 70, 100, 149])
+def test_license_templates_longer_than_the_least_block(spark, offset):
+    long = " ".join(f"term{k}" for k in range(150))
+    text = prose(1, offset) + " " + " ".join(f"term{k}" for k in range(0, 150) if k % 8) + " " + prose(2, 400)
+    rows = spark.createDataFrame([(1, text), (2, prose(2, 500)), (3, None), (4, text.replace("term1", "other"))], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in licenses.scan(rows, (("own", long),)).collect()}
+    assert found[1].labels == "own" and found[1].score == pytest.approx(131 / 150)
+    assert [found[k].labels for k in (2, 3, 4)] == ["", "", ""]
 
 
 def test_token_counts_equal_the_library(docs, no_docs):
