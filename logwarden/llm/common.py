@@ -16,6 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of text that one numpy pass holds; temporaries are some twenty times as large.
 SLICE_BYTES = 4 << 20
 
+#: Bytes of rows that Spark hands to a Python worker at a time; its own bound, 64 MB, is held several times over
+#: by the JVM and the worker of each core.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Lower-cases A-Z only.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 LOWER_TABLE = np.frombuffer(LOWER, np.uint8)
@@ -46,6 +51,12 @@ def ship(spark: SparkSession) -> None:
     context._corpus_code_sent = True
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session by BATCH_BYTES, unless the session says otherwise."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
