@@ -13,33 +13,39 @@ from pyspark.sql import functions as F
 from logwarden.llm import common, decontaminate, pieces, pii, quality, simhash
 
 
-def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+def _prepare(spark: SparkSession) -> None:
+    """One session runs all stages, so what a stage leaves in the executors' memory meets the next one's needs."""
     common.ship(spark)
+    common.bound_batches(spark)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go.  Null and empty texts are judged as such, a score that equals the threshold is kept."""
+    _prepare(spark)
     return quality.good_documents(docs, common.table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    common.ship(spark)
+    _prepare(spark)
     return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with too much of a benchmark item go."""
-    common.ship(spark)
+    _prepare(spark)
     return decontaminate.clean_documents(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked in the texts."""
-    common.ship(spark)
+    _prepare(spark)
     return pii.masked_documents(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding the ids gives the text again."""
-    common.ship(spark)
+    _prepare(spark)
     coded = pieces.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip")
 
