@@ -205,7 +205,7 @@ def raw_vs_json_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {topic: views.wire_messages(spark, sf_dir, topic) for topic in TOPICS}
+    return {topic: views.wire_messages(spark, sf_dir, topic, spread=True) for topic in TOPICS}
 
 
 def _without_zone(table: DataFrame, *columns: str) -> DataFrame:
@@ -228,7 +228,7 @@ def stats_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What parsing refuses of damaged messages, kept by the stream that archives the others."""
-    messages = {topic: views.faulty_messages(spark, sf_dir, topic) for topic in TOPICS}
+    messages = {topic: views.faulty_messages(spark, sf_dir, topic, spread=True) for topic in TOPICS}
     return replay(spark, messages, "quarantine")
 
 

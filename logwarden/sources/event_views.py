@@ -62,14 +62,24 @@ _OTHERS = {
 }
 
 
+#: Rows of the table in a partition where its records become messages.
+SPREAD_ROWS = 50_000
+
+
+def _events(spark: SparkSession, sf_dir: str, spread: bool) -> DataFrame:
+    """The table; spread, its rows are dealt out, as a well compressed file is few splits however many rows it has."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.repartition(events.count() // SPREAD_ROWS + 1) if spread else events
+
+
 _COMPRESSED = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + event_id * INTERVAL '0.1' SECOND"
 
 
 def topic_view(
-    spark: SparkSession, sf_dir: str, topic: str, time: str = _COMPRESSED
+    spark: SparkSession, sf_dir: str, topic: str, time: str = _COMPRESSED, spread: bool = False
 ) -> DataFrame:
     """Typed events of one topic; the timestamp is TIMESTAMP_NTZ."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _events(spark, sf_dir, spread)
     base = events.select(
         "event_id",
         "ts",
@@ -112,19 +122,19 @@ _ISO = "replace(cast(timestamp AS string), ' ', 'T')"
 _SLOT = "source_port - 49152"
 
 
-def wire_messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+def wire_messages(spark: SparkSession, sf_dir: str, topic: str, spread: bool = False) -> DataFrame:
     """Records as JSON text in `value`, as a broker would deliver them."""
-    view = topic_view(spark, sf_dir, topic).withColumn("timestamp", F.expr(_ISO))
+    view = topic_view(spark, sf_dir, topic, spread=spread).withColumn("timestamp", F.expr(_ISO))
     return view.select(F.to_json(F.struct(*event_columns(topic))).alias("value"))
 
 
-def faulty_messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+def faulty_messages(spark: SparkSession, sf_dir: str, topic: str, spread: bool = False) -> DataFrame:
     """`wire_messages` with one kind of damage for each of ten port slots.
 
     Slot 0 truncated, 1 no source, 2 unreadable time, 3 quoted port, 4 byte overflow,
     5 no country, 6 no action, 7 no destination port, 8 no JSON, 9 null.
     """
-    view = topic_view(spark, sf_dir, topic).withColumn("slot", F.expr(_SLOT))
+    view = topic_view(spark, sf_dir, topic, spread=spread).withColumn("slot", F.expr(_SLOT))
     view = view.withColumn("timestamp", F.expr(f"if(slot = 2, 'not a time', {_ISO})"))
     for slot, name in ((1, "source_ip"), (5, "country"), (6, "action"), (7, "destination_port")):
         view = view.withColumn(name, F.when(F.col("slot") != slot, F.col(name)))

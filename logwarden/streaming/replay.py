@@ -31,6 +31,9 @@ from logwarden.streaming.pipeline import (
 )
 
 SLICES = 5
+#: Messages of a topic, over all slices, for each partition of the state.  Every partition of every batch opens, commits
+#: and uploads a store of its own, which costs far more than the few groups that a small input would leave in it.
+STATE_MESSAGES = 500_000
 
 # One event far in the future moves the watermark past every real window, which closes them.  Its
 # own windows never close, so it reaches the archive only, where its time tells it from real events.
@@ -48,18 +51,23 @@ def flush_message(topic: str) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def _sliced(messages_by_topic: Mapping[str, DataFrame], n: int) -> DataFrame:
-    """`topic`, `value` and `slice`, 0 to n-1 in order of time; lines without a readable time come first.
-
-    Every topic's flush message is in the last slice.
-    """
+def _timed(messages_by_topic: Mapping[str, DataFrame]) -> DataFrame:
+    """`topic`, `value` and `at`, the time in whole microseconds (no rounding may put an event into an
+    earlier slice than its predecessor), null where a line has no readable time."""
     time = F.get_json_object("value", "$.timestamp").try_cast("timestamp")
-    # Whole microseconds: no rounding may put an event into an earlier slice than its predecessor.
-    timed = _all(
+    return _all(
         messages.select(F.lit(topic).alias("topic"), "value", F.unix_micros(time).alias("at"))
         for topic, messages in messages_by_topic.items()
     )
-    first, last = timed.agg(F.min("at"), F.max("at")).first()
+
+
+def _sliced(timed: DataFrame, topics: Iterable[str], n: int) -> tuple[DataFrame, int]:
+    """`topic`, `value` and `slice`, 0 to n-1 in order of time; lines without a readable time come first.
+
+    Every topic's flush message is in the last slice.  Also the number of messages of the largest topic.
+    """
+    by_topic = timed.groupBy("topic").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("n"))
+    first, last, most = by_topic.agg(F.min("first"), F.max("last"), F.max("n")).first()
     if first is None:
         first = last = 0
     width = (last - first) // n + 1
@@ -68,9 +76,14 @@ def _sliced(messages_by_topic: Mapping[str, DataFrame], n: int) -> DataFrame:
         timed.sparkSession.range(1).select(
             F.lit(topic).alias("topic"), flush_message(topic).alias("value"), F.lit(n - 1).alias("slice")
         )
-        for topic in messages_by_topic
+        for topic in topics
     )
-    return timed.select("topic", "value", place.alias("slice")).unionByName(ends)
+    return timed.select("topic", "value", place.alias("slice")).unionByName(ends), most or 0
+
+
+def state_partitions(messages: int) -> int:
+    """Partitions of the state of queries over so many messages; they grow with the input, without a bound."""
+    return messages // STATE_MESSAGES + 1
 
 
 @dataclass(frozen=True)
@@ -148,8 +161,11 @@ def run_slices(
         tables_root=f"{folder}/tables",
         distinct=distinct,
     )
-    _sliced(messages_by_topic, slices).write.partitionBy("slice").parquet(f"{folder}/waiting")
-    waiting = spark.read.parquet(f"{folder}/waiting")
+    # Written once, as messages may be costly to make, and read slice by slice.
+    _timed(messages_by_topic).write.parquet(f"{folder}/waiting")
+    waiting, most = _sliced(spark.read.parquet(f"{folder}/waiting"), topics, slices)
+    # A checkpoint keeps the number with which its query was first started.
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions(most)))
     wires = {topic: f"{folder}/wire/topic={topic}" for topic in topics}
     for wire in wires.values():
         make_folder(session, wire)
