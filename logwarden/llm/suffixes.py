@@ -23,8 +23,10 @@ LENGTH = 50
 _MINIMISER = 16
 #: Bytes of text for a shard of runs (of which most are dropped before), and of distinct runs in one suffix array.
 SHARD_BYTES, ARRAY_BYTES = 5 << 20, 3 << 20
-#: Bytes of text for a partition of texts, and for a shard of minimisers.
-TEXT_BYTES, KEY_BYTES = 12 << 20, 24 << 20
+#: Bytes of text for a part of the texts, for a partition of parts, and for a shard of contexts.
+PART_BYTES, TEXT_BYTES, KEY_BYTES = 3 << 20, 12 << 20, 24 << 20
+#: Starts of strings that are looked up at a time.
+STARTS = 1 << 20
 #: Documents in which frequent minimisers are looked for, and the share of them that makes one frequent.
 SAMPLE, FREQUENT = 2000, 0.02
 #: Shards among which the documents of a frequent minimiser are dealt.
@@ -105,108 +107,126 @@ def gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return data[np.repeat(start, size) + offset]
 
 
-#: Of a place of a context in a shard: difference to the one before it, number of the text and of the run in it;
-#: of a text: doc_id and tag.
-_KEY_KINDS = ("<u8", "<i4", "<i4", "<i8", "<i4")
-#: Of a run in a shard: minimiser, size in bytes, smallest doc_id and how much larger the largest is; its bytes; of a
-#: place of a run: number of the run, doc_id above its smallest, tag of the text, first start.
-_KINDS = ("<u8", "<i4", "<i8", "<i8", "u1", "<i4", "<i8", "<i4", "<i4")
-_SHARD = "shard int, blob binary, size bigint"
-#: Contexts are compared by their upper bits, as they only show that several documents may share a string.
-_SHORT = np.uint64(24)
+#: Of a place of a context in a shard: lower half of the context; number of the run in its part and of its text,
+#: as differences.  The shard is taken from the upper half, so by chance contexts agree as rarely on any input size.
+_KEY_KINDS = ("<u4", "<u4", "<u4")
+#: Of a run in a shard: half of the minimiser, size in bytes, smallest doc_id and how much larger the largest is; its
+#: bytes; of a place of a run: number of the run, doc_id above its smallest, number of the text in its part, first start.
+_KINDS = ("<u4", "<i4", "<i8", "<i8", "u1", "<i4", "<i8", "<i4", "<i4")
+#: Of a removed piece: number of the text in its part, begin and end.
+_PIECE_KINDS = ("<i4", "<i4", "<i4")
+_BLOB = "shard int, part int, blob binary, size bigint"
+_HALF = np.uint64(32)
 
 
-def _blobs(found: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
-    shard, blob, size = zip(*found, strict=True) if found else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(blob, pa.binary()), pa.array(size, pa.int64())], ["shard", "blob", "size"])
+def _blobs(found: list[tuple[int, int, bytes, int]]) -> pa.Table:
+    shard, part, blob, size = zip(*found, strict=True) if found else ((), (), (), ())
+    arrays = [pa.array(shard, pa.int32()), pa.array(part, pa.int32()), pa.array(blob, pa.binary()), pa.array(size, pa.int64())]
+    return pa.Table.from_arrays(arrays, ["shard", "part", "blob", "size"])
 
 
-def _texts(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, tags, joined bytes and where each text begins; a text without a doc_id counts as empty."""
-    ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-    none = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-    texts = [b"" if skip else text for text, skip in zip(common.text_bytes(batch.column("text")), none, strict=True)]
-    return np.where(none, 0, np.nan_to_num(ids)).astype(np.int64), batch.column("tag").to_numpy(zero_copy_only=False), *common.joined(texts)
+def _stretches(values: np.ndarray) -> list[tuple[int, int, int]]:
+    """Each distinct of the sorted values, where it begins and where it ends."""
+    found, first = np.unique(values, return_index=True)
+    return list(zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(values)][: len(found)], strict=True))
+
 
+def _batches(table: pa.Table) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of a part in one order wherever it is read, in slices, and how many came before each."""
+    order = [("doc_id", "ascending"), ("tag", "ascending"), ("text", "ascending")]
+    before = 0
+    for batch in common.slices(iter(table.sort_by(order).combine_chunks().to_batches())):
+        yield before, batch
+        before += batch.num_rows
 
-def _numbered(owner: np.ndarray) -> np.ndarray:
-    """The number of each run in its text."""
-    head = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else owner
-    return np.arange(len(owner)) - np.repeat(head, np.diff(np.append(head, len(owner))))
+
+def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, joined bytes and where each text begins; a text without a doc_id counts as empty."""
+    ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+    none = batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+    texts = [b"" if skip else text for text, skip in zip(common.text_bytes(batch.column("text")), none, strict=True)]
+    return ids, *common.joined(texts)
 
 
 def _keys(shards: int, frequent: np.ndarray, length: int) -> object:
-    """Contexts by shard; frequent ones are known to have several documents and stay."""
+    """Contexts of a part by shard; frequent ones are known to have several documents and stay."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
-            ids, tags, data, begins = _texts(batch, length)
+    def run(table: pa.Table) -> pa.Table:
+        part, found, runs_before = table.column("part")[0].as_py(), [], 0
+        for before, batch in _batches(table):
+            _, data, begins = _texts(batch)
             hashes, least = hashed(data, length)
             key, owner, first, count = runs(least, begins, length)
             of, context = contexts(hashes, least, key, begins[owner] + first, count, length)
-            rare, found = ~np.isin(context, frequent), []
-            key, owner, number = context[rare] >> _SHORT, owner[of[rare]], _numbered(owner)[of[rare]]
-            order = np.argsort(key, kind="stable")
-            key, owner, number = key[order], owner[order], number[order]
-            shard = (common.mix(key) % np.uint64(shards)).astype(np.int64)
-            by = np.argsort(shard, kind="stable")
-            cuts = np.searchsorted(shard[by], np.arange(shards + 1))
-            for k in range(shards):
-                mine = by[cuts[k] : cuts[k + 1]]
-                if len(mine):
-                    texts, slot = np.unique(owner[mine], return_inverse=True)
-                    arrays = [np.diff(key[mine], prepend=np.uint64(0)), slot.astype(np.int32), number[mine].astype(np.int32), ids[texts], tags[texts]]
-                    found.append((k, *common.pack(arrays)))
-            yield _blobs(found)
+            rare = ~np.isin(context, frequent)
+            of, context = of[rare], context[rare]
+            shard = (context >> _HALF) % np.uint64(shards)
+            order = np.argsort(shard << _HALF | of.astype(np.uint64))
+            of, context, shard = of[order], context[order], shard[order]
+            for k, a, b in _stretches(shard):
+                columns = [of[a:b] + runs_before, owner[of[a:b]] + before]
+                found.append((k, part, *common.pack([context[a:b].astype(np.uint32), *(np.diff(c, prepend=0).astype(np.uint32) for c in columns)])))
+            runs_before += len(key)
+        return _blobs(found)
 
     return run
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, int]]]:
-    shards: dict[int, list[tuple[bytes, int]]] = {}
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, bytes, int]]]:
+    shards: dict[int, list[tuple[int, bytes, int]]] = {}
     for batch in batches:
-        for shard, blob, size in zip(*(batch.column(c).to_pylist() for c in ("shard", "blob", "size")), strict=True):
-            shards.setdefault(shard, []).append((blob, size))
+        for shard, *rest in zip(*(batch.column(c).to_pylist() for c in ("shard", "part", "blob", "size")), strict=True):
+            shards.setdefault(shard, []).append(tuple(rest))
     while shards:
         yield shards.popitem()[1]
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text the numbers of runs with a context that several documents have."""
+    """Per part the numbers of runs with a context that several texts have (texts of one doc_id count as several here)."""
     for blobs in _by_shard(batches):
-        parts, shift = [], 0
-        for blob, size in blobs:
-            key, slot, number, ids, tags = common.unpack(blob, size, _KEY_KINDS)
-            parts.append((np.cumsum(key), slot + shift, number, ids, tags))
-            shift += len(ids)
-        key, slot, number, ids, tags = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(key, kind="stable")
-        head = np.flatnonzero(np.concatenate(([True], key[order[1:]] != key[order[:-1]])))
-        of = ids[slot[order]]
-        several = np.minimum.reduceat(of, head) < np.maximum.reduceat(of, head)
-        chosen = order[np.repeat(several, np.diff(np.append(head, len(order))))]
-        chosen = chosen[np.argsort(slot[chosen], kind="stable")]
-        texts, first = np.unique(slot[chosen], return_index=True)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(chosen)).astype(np.int32)), pa.array(number[chosen]))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[texts]), pa.array(tags[texts]), lists], ["id", "mark", "numbers"])
+        keys, places, texts = [], [], []
+        for part, blob, size in blobs:
+            key, number, owner = common.unpack(blob, size, _KEY_KINDS)
+            base = np.uint64(part) << _HALF
+            keys.append(key)
+            places.append(base | np.cumsum(number, dtype=np.uint64))
+            texts.append(base | np.cumsum(owner, dtype=np.uint64))
+        blobs.clear()
+        key, place, text = np.concatenate(keys), np.concatenate(places), np.concatenate(texts)
+        del keys, places, texts
+        order = np.argsort(key)
+        key, text = key[order], text[order]
+        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        several = np.minimum.reduceat(text, head) < np.maximum.reduceat(text, head)
+        chosen = np.unique(place[order[np.repeat(several, np.diff(np.append(head, len(order))))]])
+        found = []
+        for part, a, b in _stretches(chosen >> _HALF):
+            found.append((0, part, *common.pack([np.diff(chosen[a:b], prepend=np.uint64(part) << _HALF).astype(np.uint32)])))
+        yield from _blobs(found).to_batches()
+
+
+def _unpacked(blobs: pa.Table, kinds: tuple[str, ...]) -> list[list[np.ndarray]]:
+    return [common.unpack(blob, size, kinds) for blob, size in zip(blobs.column("blob").to_pylist(), blobs.column("size").to_pylist(), strict=True)]
 
 
 def _deal(shards: int, frequent: np.ndarray, frequent_contexts: np.ndarray, length: int) -> object:
-    """The chosen runs, with their bytes, by shard."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for turn, batch in enumerate(common.slices(batches)):
-            ids, tags, data, begins = _texts(batch, length)
+    """The chosen runs of a part, with their bytes, by shard."""
+
+    def run(table: pa.Table, blobs: pa.Table) -> pa.Table:
+        found, runs_before = [], 0
+        numbers = np.concatenate([np.empty(0, np.int64), *(np.cumsum(x, dtype=np.int64) for (x,) in _unpacked(blobs, ("<u4",)))])
+        part = table.column("part")[0].as_py() if table.num_rows else 0
+        for turn, (before, batch) in enumerate(_batches(table)):
+            ids, data, begins = _texts(batch)
             hashes, least = hashed(data, length)
             key, owner, first, count = runs(least, begins, length)
-            chosen, lists = np.zeros(len(key), bool), batch.column("numbers")
+            chosen = np.zeros(len(key), bool)
             if len(frequent_contexts):
                 of, context = contexts(hashes, least, key, begins[owner] + first, count, length)
                 chosen[of[np.isin(context, frequent_contexts)]] = True
-            begin = np.searchsorted(owner, np.arange(batch.num_rows))
-            sizes = np.diff(lists.offsets.to_numpy())
-            numbers = lists.flatten().to_numpy(zero_copy_only=False)
-            chosen[np.repeat(begin, np.where(lists.is_valid().to_numpy(zero_copy_only=False), sizes, 0)) + numbers] = True
+            del hashes, least
+            chosen[numbers[(numbers >= runs_before) & (numbers < runs_before + len(key))] - runs_before] = True
+            runs_before += len(key)
             key, owner, first, count = key[chosen], owner[chosen], first[chosen], count[chosen]
             if not len(key):
                 continue
@@ -221,7 +241,7 @@ def _deal(shards: int, frequent: np.ndarray, frequent_contexts: np.ndarray, leng
             often = np.isin(key, frequent)
             # A frequent run is known to all shards of its spread; its places go to one of them.
             copies = np.where(often, min(SPREAD, shards), 1)
-            place_shard = np.where(often, (shard + (int(ids[0]) + turn) % copies) % shards, shard)
+            place_shard = np.where(often, (shard + (part + turn) % copies) % shards, shard)
             run_copies = copies[at]
             run_of = np.repeat(np.arange(len(at)), run_copies)
             run_shard = (np.repeat(shard[at], run_copies) + np.arange(len(run_of)) - np.repeat(np.cumsum(run_copies) - run_copies, run_copies)) % shards
@@ -230,18 +250,17 @@ def _deal(shards: int, frequent: np.ndarray, frequent_contexts: np.ndarray, leng
             targets = np.unique(run_shard)
             r = np.searchsorted(run_shard, np.append(targets, shards))
             p = np.searchsorted(place_shard, np.append(targets, shards))
-            found = []
             for k, target in enumerate(targets.tolist()):
                 mine, places = run_of[r[k] : r[k + 1]], by_place[p[k] : p[k + 1]]
                 source = at[mine]
                 arrays = [
-                    key[source], size[source].astype(np.int32), least[mine], most[mine] - least[mine],
+                    key[source].astype(np.uint32), size[source].astype(np.int32), least[mine], most[mine] - least[mine],
                     gathered(data, begins[owner[source]] + first[source], size[source]),
                     np.searchsorted(mine, which[places]).astype(np.int32), ids[owner[places]] - least[which[places]],
-                    tags[owner[places]], first[places].astype(np.int32),
+                    (owner[places] + before).astype(np.int32), first[places].astype(np.int32),
                 ]
-                found.append((target, *common.pack(arrays)))
-            yield _blobs(found)
+                found.append((target, part, *common.pack(arrays)))
+        return _blobs(found)
 
     return run
 
@@ -268,7 +287,7 @@ class SuffixArray:
     def _refined(self, n: int) -> np.ndarray:
         """Larsson-Sadakane: positions sorted by eight bytes, then groups that are still open by the rank of what follows."""
         words = self.words[:n]
-        order = np.argsort(words, kind="stable").astype(np.int32)
+        order = np.argsort(words).astype(np.int32)  # equal ones are told apart below, or never
         slot, ranked = np.arange(n, dtype=np.int32), words[order]
         first = np.concatenate(([True], ranked[1:] != ranked[:-1])) if n else np.zeros(0, bool)
         del ranked
@@ -284,7 +303,7 @@ class SuffixArray:
                 break
             members = order[open_slots]
             key = head[open_slots].astype(np.uint64) << np.uint64(32) | (rank[members + ahead] + 1).astype(np.uint64)
-            by = np.argsort(key, kind="stable")
+            by = np.argsort(key)
             key = key[by]
             order[open_slots] = members[by]
             first[open_slots] = np.concatenate(([True], key[1:] != key[:-1]))
@@ -371,11 +390,14 @@ def smallest_owner(data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner:
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def _resolve(blobs: list[tuple[bytes, int]], length: int) -> pa.RecordBatch:
-    parts = [common.unpack(blob, size, _KINDS) for blob, size in blobs]
+def _resolve(blobs: list[tuple[int, bytes, int]], length: int) -> pa.Table:
+    parts = [common.unpack(blob, size, _KINDS) for _, blob, size in blobs]
+    part = np.repeat(np.array([p for p, _, _ in blobs], np.int64), [len(p[5]) for p in parts])
+    blobs.clear()
     shift = np.cumsum([0, *(len(p[0]) for p in parts)])
-    key, size, least, most, data, run, ids, tag, first = (np.concatenate(x) for x in zip(*parts, strict=True))
+    key, size, least, most, data, run, ids, text, first = (np.concatenate(x) for x in zip(*parts, strict=True))
     run = run + np.repeat(shift[:-1], [len(p[5]) for p in parts])
+    del parts
     most, ids = least + most, ids + least[run]
     begin = np.cumsum(size, dtype=np.int64) - size
     # Only minimisers of several documents can belong to a repeated string.
@@ -387,36 +409,42 @@ def _resolve(blobs: list[tuple[bytes, int]], length: int) -> pa.RecordBatch:
     if len(chosen):
         body = common.hash_spans(data, begin[chosen], begin[chosen] + size[chosen])
         by = np.lexsort((least[chosen], body, key[chosen]))
-        new = np.concatenate(([True], (np.diff(key[chosen][by].view(np.int64)) != 0) | (np.diff(body[by].view(np.int64)) != 0)))
+        near_key, near_body = key[chosen][by], body[by]
+        new = np.concatenate(([True], (near_key[1:] != near_key[:-1]) | (near_body[1:] != near_body[:-1])))
         number[chosen[by]] = np.cumsum(new) - 1
         sole = chosen[by][new]  # one of each distinct run, with the smallest doc_id
-        text = gathered(data, begin[sole], size[sole].astype(np.int64))
+        bytes_of = gathered(data, begin[sole], size[sole].astype(np.int64))
         start = np.cumsum(size[sole], dtype=np.int64) - size[sole]
-        owner = smallest_owner(text, start, size[sole].astype(np.int64), least[sole], length)
+        del data, body, near_key, near_body
+        owner = smallest_owner(bytes_of, start, size[sole].astype(np.int64), least[sole], length)
         count = size[sole].astype(np.int64) - length + 1
         base = np.cumsum(count) - count
     places = np.flatnonzero(number[run] >= 0)
-    if not len(places):
-        return pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32())], ["id", "mark", "a", "b"])
-    which = number[run[places]]
-    many = count[which]
-    inner = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
-    gone = owner[np.repeat(base[which], many) + inner] < np.repeat(ids[places], many)
-    edge = np.zeros(len(gone) + 1, bool)
-    edge[np.cumsum(many)] = edge[0] = True
-    opens = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate(([False], gone[:-1]))))
-    closes = np.flatnonzero(gone & (edge[1:] | ~np.concatenate((gone[1:], [False]))))
-    place = places[np.repeat(np.arange(len(places)), many)[opens]]
-    a, b = first[place] + inner[opens], first[place] + inner[closes] + length
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[place]), pa.array(tag[place]), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], ["id", "mark", "a", "b"]
-    )
+    found: list[tuple[np.ndarray, ...]] = []
+    ends = np.cumsum(count[number[run[places]]]) if len(places) else np.empty(0, np.int64)
+    for here in np.split(places, np.flatnonzero(np.diff(ends // STARTS)) + 1) if len(places) else ():
+        which = number[run[here]]
+        many = count[which]
+        inner = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        gone = owner[np.repeat(base[which], many) + inner] < np.repeat(ids[here], many)
+        edge = np.zeros(len(gone) + 1, bool)
+        edge[np.cumsum(many)] = edge[0] = True
+        opens = np.flatnonzero(gone & (edge[:-1] | ~np.concatenate(([False], gone[:-1]))))
+        closes = np.flatnonzero(gone & (edge[1:] | ~np.concatenate((gone[1:], [False]))))
+        place = here[np.repeat(np.arange(len(here)), many)[opens]]
+        found.append((part[place], text[place], first[place] + inner[opens], first[place] + inner[closes] + length))
+    if not found:
+        return _blobs([])
+    columns = [np.concatenate(x) for x in zip(*found, strict=True)]
+    order = np.lexsort((columns[2], columns[1], columns[0]))
+    of, *columns = (c[order] for c in columns)
+    return _blobs([(0, k, *common.pack([c[a:b].astype(np.int32) for c in columns])) for k, a, b in _stretches(of)])
 
 
 def _match(length: int) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in _by_shard(batches):
-            yield _resolve(blobs, length)
+            yield from _resolve(blobs, length).to_batches()
 
     return run
 
@@ -446,17 +474,45 @@ def _frequent(rows: DataFrame, length: int, sample: int) -> tuple[np.ndarray, np
     return np.array(keys, np.int64).view(np.uint64), np.array(others, np.int64).view(np.uint64)
 
 
-def _removed_spans(rows: DataFrame, texts: DataFrame, total: int, length: int, shard_bytes: int, sample: int) -> DataFrame:
-    """id (doc_id), mark (of the text), and spans a to b of bytes to remove, which may overlap, from the rows and the same partitioned."""
+def _removed(rows: DataFrame, texts: DataFrame, total: int, length: int, shard_bytes: int, sample: int) -> DataFrame:
+    """Blobs of removed pieces, which may overlap, by part; from the rows, and the same partitioned by part."""
     frequent, frequent_contexts = _frequent(rows.where("doc_id IS NOT NULL").where(F.octet_length("text") >= length), length, sample)
-    key_shards = max(1, total // KEY_BYTES)
-    keys = rows.mapInArrow(_keys(key_shards, frequent_contexts, length), _SHARD).repartition(key_shards, "shard")
-    shared = keys.mapInArrow(_shared, "id bigint, mark int, numbers array<int>")
-    numbers = shared.groupBy("id", "mark").agg(F.flatten(F.collect_list("numbers")).alias("numbers"))
-    chosen = texts.join(numbers, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "tag", "text", "numbers")
+    key_shards, partitions = max(1, total // KEY_BYTES), total // TEXT_BYTES + 1
+    keys = texts.groupBy("part").applyInArrow(_keys(key_shards, frequent_contexts, length), _BLOB).repartition(key_shards, "shard")
+    numbers = keys.mapInArrow(_shared, _BLOB).repartition(partitions, "part")
     shards = max(1, total // shard_bytes)
-    dealt = chosen.mapInArrow(_deal(shards, frequent, frequent_contexts, length), _SHARD).repartition(shards, "shard")
-    return dealt.mapInArrow(_match(length), "id bigint, mark int, a int, b int")
+    deal = _deal(shards, frequent, frequent_contexts, length)
+    dealt = texts.groupBy("part").cogroup(numbers.groupBy("part")).applyInArrow(deal, _BLOB).repartition(shards, "shard")
+    return dealt.mapInArrow(_match(length), _BLOB).repartition(partitions, "part")
+
+
+_KEPT = pa.schema(
+    [("doc_id", pa.int64()), ("text", pa.string()), ("spans", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))), ("kept", pa.binary())]
+)
+
+
+def _kept(table: pa.Table, blobs: pa.Table) -> pa.Table:
+    """The texts of a part, the maximal removed runs of each, and what is left."""
+    pieces = [np.concatenate([np.empty(0, np.int64), *x]) for x in zip(*_unpacked(blobs, _PIECE_KINDS), strict=True)] or [np.empty(0, np.int64)] * 3
+    order = np.lexsort((pieces[1], pieces[0]))
+    owner, a, b = (x[order] for x in pieces)
+    out = []
+    for before, batch in _batches(table):
+        texts, spans, kept = common.text_bytes(batch.column("text")), [], []
+        cuts = np.searchsorted(owner, np.arange(before, before + len(texts) + 1))
+        for k, text in enumerate(texts):
+            merged: list[list[int]] = []
+            for x, y in zip(a[cuts[k] : cuts[k + 1]].tolist(), b[cuts[k] : cuts[k + 1]].tolist(), strict=True):
+                if merged and x <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], y)
+                else:
+                    merged.append([x, y])
+            ends = [0, *(v for span in merged for v in span), len(text)]
+            spans.append([{"a": x, "b": y} for x, y in merged])
+            kept.append(b"".join(text[x:y] for x, y in zip(ends[::2], ends[1::2], strict=True)))
+        arrays = [batch.column("doc_id"), batch.column("text"), pa.array(spans, _KEPT.field("spans").type), pa.array(kept, pa.binary())]
+        out.append(pa.RecordBatch.from_arrays(arrays, schema=_KEPT))
+    return pa.Table.from_batches(out, _KEPT)
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYTES, sample: int = SAMPLE) -> DataFrame:
@@ -467,33 +523,13 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD
     no order and loses nothing, nor do others because of it.  Rows of one doc_id count as one
     document: none loses anything because of another.  Columns other than doc_id and text are not read.
 
-    The texts are partitioned once; the steps after the first join what they need to that partitioning.
+    The texts are dealt to parts once.  Every step works part by part, in one order of the texts, so that runs and
+    texts are known by their numbers, and what steps tell each other travels as one blob per shard and part.
     """
     rows = docs.select("doc_id", _tag().alias("tag"), "text")
     total = int(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    texts = rows.repartition(total // TEXT_BYTES + 1, "doc_id", "tag")
-    found = _removed_spans(rows, texts, total, length, shard_bytes, sample)
-    found = found.groupBy("id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("raw"))
-    joined = texts.join(found, (F.col("doc_id") == F.col("id")) & (F.col("tag") == F.col("mark")), "left").select("doc_id", "text", "raw")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
-            texts, spans, kept = common.text_bytes(batch.column("text")), [], []
-            for text, raw in zip(texts, batch.column("raw").to_pylist(), strict=True):
-                merged: list[list[int]] = []
-                for x in raw or ():
-                    if merged and x["a"] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], x["b"])
-                    else:
-                        merged.append([x["a"], x["b"]])
-                ends = [0, *(v for span in merged for v in span), len(text)]
-                spans.append([{"a": a, "b": b} for a, b in merged])
-                kept.append(b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)))
-            kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "text", "spans", "kept"]
-            )
-
-    return joined.mapInArrow(run, "doc_id bigint, text string, spans array<struct<a:int,b:int>>, kept binary")
-
-
+    part = F.pmod(F.xxhash64("doc_id", "tag"), F.lit(total // PART_BYTES + 1)).cast("int")
+    texts = rows.withColumn("part", part).repartition(total // TEXT_BYTES + 1, "part")
+    found = _removed(rows, texts, total, length, shard_bytes, sample)
+    cogrouped = texts.groupBy("part").cogroup(found.groupBy("part"))
+    return cogrouped.applyInArrow(_kept, "doc_id bigint, text string, spans array<struct<a:int,b:int>>, kept binary")
