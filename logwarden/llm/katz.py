@@ -141,14 +141,15 @@ def _dealt(h: np.ndarray, w: np.ndarray, value: np.ndarray | None, words: Words,
 
 
 def _read(blobs: list[tuple[bytes, int]]) -> list[np.ndarray]:
-    """The arrays of all blobs of a shard; texts are numbered through."""
-    parts, shift = [], 0
+    """The arrays of all blobs of a shard, texts numbered through, and the number of texts of each blob."""
+    parts, shift, sizes = [], 0, []
     for blob, size in blobs:
         key, n, word, code, m, first, second, o, rows, train = common.unpack(blob, size, _KINDS)
+        sizes.append(len(rows))
         with np.errstate(over="ignore"):
             parts.append((np.cumsum(key), n + shift, np.cumsum(word), code, m + shift, first, second, o + shift, rows, train))
         shift += len(rows)
-    return [np.concatenate(x) for x in zip(*parts, strict=True)]
+    return [*(np.concatenate(x) for x in zip(*parts, strict=True)), np.array(sizes)]
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[bytes, int]]]:
@@ -192,7 +193,7 @@ def _sum_pairs(words: Broadcast, least: int) -> object:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in _by_shard(batches):
-            key, n, word, code, m, one, two, o, _, _ = _read(blobs)
+            key, n, word, code, m, one, two, o, _, _, _ = _read(blobs)
             known, firsts, counts, shares, every = words.value, [], [], [], []
             lost_first, lost_second = [], []
             for columns, value in (([key], n), ([word, code], m), ([one, two], o)):
@@ -369,7 +370,7 @@ def _deal_words(words: Broadcast, shards: int) -> object:
 
 
 def _evaluate_pairs(words: Broadcast, numbers: dict[str, float], factor: np.ndarray, least: int) -> object:
-    """Terms of pairs, summed by text; rows of words pass."""
+    """Terms of pairs, summed by text, the texts of a blob in one row; rows of words pass."""
     unseen = float(np.log10(numbers["unseen"])) if numbers["unseen"] > 0 else 0.0
 
     def corrected(count: np.ndarray) -> np.ndarray:
@@ -387,13 +388,13 @@ def _evaluate_pairs(words: Broadcast, numbers: dict[str, float], factor: np.ndar
         for batch in batches:
             plain = batch.filter(batch.column("blob").is_null())
             if plain.num_rows:
-                yield plain.select(["row", "doc_id", "held", "word", *_PARTS])
+                yield _handed(plain.select(["row", "doc_id", "held", "word", *_PARTS]))
             packed = batch.filter(batch.column("blob").is_valid())
             for shard, blob, size in zip(*(packed.column(c).to_pylist() for c in ("shard", "blob", "size")), strict=True):
                 (shards if size > 0 else tables).setdefault(shard, []).append((blob, abs(size)))
         while shards:
             shard, blobs = shards.popitem()
-            key, text, word, code, word_text, one, two, both_text, rows, train_mark = _read(blobs)
+            key, text, word, code, word_text, one, two, both_text, rows, train_mark, sizes = _read(blobs)
             blobs.clear()
             parts = [common.unpack(blob, size, _WORD_KINDS) for blob, size in tables.pop(shard, [])]
             table = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.empty(0, k) for k in _WORD_KINDS]
@@ -427,13 +428,56 @@ def _evaluate_pairs(words: Broadcast, numbers: dict[str, float], factor: np.ndar
             kept = times >= least
             score += np.bincount(both_text, np.where(kept, corrected(times) - total[at], weight[at]), len(rows))
             if len(two):
-                yield _rows(rows[both_text], two, targets=np.ones(len(two)), probabilities=~kept)
+                yield _handed(_rows(rows[both_text], two, targets=np.ones(len(two)), probabilities=~kept))
             some = np.flatnonzero((score != 0) | (base != 0))
-            yield _rows(rows[some], None, score=score[some], base=base[some], known=seen[some])
+            ends = np.cumsum(sizes)
+            cuts = np.searchsorted(some, np.append(0, ends))
+            firsts, sums = [], []
+            for a, b, begin in zip(cuts[:-1], cuts[1:], ends - sizes, strict=True):
+                if a < b:
+                    mine = some[a:b]
+                    firsts.append(rows[begin])
+                    sums.append(common.pack([rows[mine] - rows[begin], score[mine], base[mine], seen[mine].astype(np.int32)]))
+            if firsts:
+                yield _handed(_rows(np.array(firsts), None), sums)
 
     return run
 
 
+#: Of the sums of a shard for the texts of a blob: row after the first one, score, base score and known tokens.
+_SUM_KINDS = ("<i8", "<f8", "<f8", "<i4")
+
+
+def _handed(rows: pa.RecordBatch, sums: list[tuple[bytes, int]] | None = None) -> pa.RecordBatch:
+    blob, size = zip(*sums, strict=True) if sums else ([None] * rows.num_rows,) * 2
+    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(blob, pa.binary()), pa.array(size, pa.int64())], [*rows.schema.names, "blob", "size"])
+
+
+def _add_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text for the sums that all shards have for it; other rows pass."""
+    blocks: dict[int, dict[str, np.ndarray]] = {}
+    names = ("score", "base", "known")
+    for batch in batches:
+        plain = batch.filter(batch.column("blob").is_null())
+        if plain.num_rows:
+            yield plain.select(["row", "doc_id", "held", "word", *_PARTS])
+        packed = batch.filter(batch.column("blob").is_valid())
+        for first, blob, size in zip(*(packed.column(c).to_pylist() for c in ("row", "blob", "size")), strict=True):
+            at, *values = common.unpack(blob, size, _SUM_KINDS)
+            n = int(at.max()) + 1
+            held = blocks.get(first)
+            if held is None or len(held["score"]) < n:
+                wider = {c: np.zeros(n) for c in names}
+                for c in names if held else ():
+                    wider[c][: len(held[c])] = held[c]
+                held = blocks[first] = wider
+            for c, value in zip(names, values, strict=True):
+                held[c][at] += value
+    for first, held in blocks.items():
+        some = np.flatnonzero((held["score"] != 0) | (held["base"] != 0) | (held["known"] != 0))
+        yield _rows(first + some, None, **{c: x[some] for c, x in held.items()})
+
+
 def score_documents(docs: DataFrame, frequent: int = FREQUENT_WORDS, least: int = LEAST_PAIR, shard_text: int = SHARD_TEXT) -> DataFrame:
     """For each row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -457,7 +501,9 @@ def score_documents(docs: DataFrame, frequent: int = FREQUENT_WORDS, least: int
     marked = rows.withColumn("row", F.monotonically_increasing_id())
     mixed = _SHARD + ", " + _ROW
     dealt = marked.mapInArrow(_evaluate_words(words, numbers, shards), mixed).union(logs.mapInArrow(_deal_words(words, shards), mixed))
-    parts = dealt.repartition(shards, "shard").mapInArrow(_evaluate_pairs(words, numbers, factor, least), _ROW)
+    parts = dealt.repartition(shards, "shard").mapInArrow(_evaluate_pairs(words, numbers, factor, least), _ROW + ", blob binary, size bigint")
+    # A text has a sum in nearly every shard.  They travel together with those of its neighbours and are added up once.
+    parts = parts.repartition(shards, "row").mapInArrow(_add_sums, _ROW)
     # Rows without a word get a key of their own, so that no task receives them all.
     named = parts.withColumn("key", F.coalesce("word", F.xxhash64("row")))
     looked_up = logs.select(F.col("word").alias("key"), F.col("count").alias("c"), F.col("probability").alias("p"))

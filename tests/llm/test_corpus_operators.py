@@ -5,13 +5,15 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
 import corpus_pipeline
-from logwarden.llm import components, katz, quality, simhash, suffixes
+from logwarden.llm import common, components, katz, quality, simhash, suffixes
 
 from .conftest import prose
 from .test_text_operators import quality_table
@@ -232,3 +234,40 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_packed_arrays_come_back():
+    arrays = [np.arange(6, dtype="<i8"), np.arange(6, dtype="<i4").reshape(2, 3), np.empty(0), np.array([True, False])]
+    kinds = ("<i8", "<i4", "<f8", "?")
+    for before, after in zip(arrays, common.unpack(*common.pack(arrays), kinds), strict=True):
+        assert before.ravel().tolist() == after.tolist() and before.dtype == after.dtype
+
+
+def test_shared_contexts_are_one_row_per_shard_and_part():
+    line = "a line of some length that several documents have, word for word, " * 3
+    texts = [f"{line} {k} of its own {'x' * k}" for k in range(40)]
+    tables = [
+        pa.table({"doc_id": ids, "tag": pa.array([0] * 20, pa.int32()), "text": [texts[k] for k in ids], "part": pa.array([part] * 20, pa.int32())})
+        for part, ids in enumerate((list(range(20)), list(range(20, 40))))
+    ]
+    keys = [b for t in tables for b in suffixes._keys(3, np.empty(0, np.uint64), 50)(t).to_batches()]
+    shared = pa.Table.from_batches(suffixes._shared(iter(keys)))
+    assert shared.num_rows <= 3 * 2 and set(shared["part"].to_pylist()) == {0, 1}
+
+
+def test_sums_of_pairs_are_one_row_per_shard_and_blob():
+    texts = [f"one two three {k} four five {k % 7}".encode() for k in range(50)]
+    w, h, owner = katz.words_of(texts)
+    words = np.unique(np.concatenate((w, h)))
+    known = katz.Words(words, np.ones(len(words)), {c: np.zeros(len(words)) for c in ("probability", "weight", "both")})
+    rows, train = np.arange(100, 150), np.ones(50, bool)
+    blobs = [pa.Table.from_batches([katz._mixed_blob(*x)]) for x in katz._dealt(h, w, owner, known, 4, rows, train)]
+    step = katz._evaluate_pairs(SimpleNamespace(value=known), {"n": 1, "v": 1, "unseen": 0.5}, np.ones(katz.DISCOUNTED + 1), 1)
+    sums = list(step(b for t in blobs for b in t.to_batches()))
+    assert sum(b.num_rows for b in sums) <= 4
+    added = pa.Table.from_batches(katz._add_sums(iter(sums)))
+    assert added.num_rows == 50 and sorted(added["row"].to_pylist()) == rows.tolist()
+    of_pair = Counter(zip(h.tolist(), w.tolist(), strict=True))
+    expected = [sum(math.log10(of_pair[p]) for p in zip(h[owner == k].tolist(), w[owner == k].tolist(), strict=True)) for k in range(50)]
+    got = dict(zip(added["row"].to_pylist(), added["score"].to_pylist(), strict=True))
+    assert [got[100 + k] for k in range(50)] == pytest.approx(expected)
