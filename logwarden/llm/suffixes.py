@@ -3,9 +3,10 @@
 Every 50-byte string is dealt to a shard by its minimiser, the smallest hash among its 16-byte
 substrings, which depends on the string alone; neighbouring strings with one minimiser travel as
 one run of bytes.  So all places of a string meet in one shard.  Only runs with a context (a
-minimiser and half of the rest of a string) that several documents have are dealt.  A shard builds suffix arrays of the distinct runs (Larsson-Sadakane refinement), finds equal
-strings by Kasai's common prefixes, and merges its arrays by binary search.  The smallest doc_id
-of each string decides what is removed from which document.
+minimiser and half of the rest of a string) that several documents have are dealt.  A shard builds
+suffix arrays of the distinct runs, in the order of their minimisers (Larsson-Sadakane refinement),
+finds equal strings by Kasai's common prefixes, and merges arrays that share a minimiser by binary
+search.  The smallest doc_id of each string decides what is removed from which document.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ from logwarden.llm import common
 LENGTH = 50
 _MINIMISER = 16
 #: Bytes of text for a shard of runs (of which most are dropped before), and of distinct runs in one suffix array.
-SHARD_BYTES, ARRAY_BYTES = 5 << 20, 3 << 20
+SHARD_BYTES, ARRAY_BYTES = 5 << 20, 1 << 20
 #: Bytes of text for a part of the texts, for a partition of parts, and for a shard of contexts.
 PART_BYTES, TEXT_BYTES, KEY_BYTES = 3 << 20, 12 << 20, 24 << 20
 #: Starts of strings that are looked up at a time.
-STARTS = 1 << 20
+STARTS = 1 << 18
+#: Starts along which Kasai's common prefixes are handed on; longer runs begin anew.
+LANE = 64
 #: Documents in which frequent minimisers are looked for, and the share of them that makes one frequent.
 SAMPLE, FREQUENT = 2000, 0.02
 #: Shards among which the documents of a frequent minimiser are dealt.
@@ -181,6 +184,20 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, byt
         yield shards.popitem()[1]
 
 
+def _several(key: np.ndarray, place: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Places whose key several texts have."""
+    if not len(key):
+        return place
+    ranked = key.astype(np.uint64) << _HALF | np.arange(len(key), dtype=np.uint64)
+    ranked.sort()
+    order = (ranked & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    text, ranked = text[order], ranked >> _HALF
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    head = np.flatnonzero(new)
+    several = np.logical_or.reduceat(np.concatenate(([False], text[1:] != text[:-1])) & ~new, head)
+    return place[order[np.repeat(several, np.diff(np.append(head, len(order))))]]
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per part the numbers of runs with a context that several texts have (texts of one doc_id count as several here)."""
     for blobs in _by_shard(batches):
@@ -194,11 +211,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs.clear()
         key, place, text = np.concatenate(keys), np.concatenate(places), np.concatenate(texts)
         del keys, places, texts
-        order = np.argsort(key)
-        key, text = key[order], text[order]
-        head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        several = np.minimum.reduceat(text, head) < np.maximum.reduceat(text, head)
-        chosen = np.unique(place[order[np.repeat(several, np.diff(np.append(head, len(order))))]])
+        some = []
+        for quarter in range(4):  # a sort holds several times what it sorts
+            mine = np.flatnonzero(key >> np.uint32(30) == quarter)
+            some.append(_several(key[mine], place[mine], text[mine]))
+        del key, place, text
+        chosen = np.concatenate(some)
+        chosen.sort()
+        chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))[: len(chosen)]]
         found = []
         for part, a, b in _stretches(chosen >> _HALF):
             found.append((0, part, *common.pack([np.diff(chosen[a:b], prepend=np.uint64(part) << _HALF).astype(np.uint32)])))
@@ -265,6 +285,16 @@ def _deal(shards: int, frequent: np.ndarray, frequent_contexts: np.ndarray, leng
     return run
 
 
+def body_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each piece of data, the pieces in ascending order, some bytes of data at a time."""
+    cut = np.flatnonzero(np.diff(begin // ARRAY_BYTES, prepend=-1))
+    out = [np.empty(0, np.uint64)]
+    for a, b in zip(cut, np.append(cut[1:], len(begin)), strict=True):
+        base, ends = begin[a], begin[a:b] + size[a:b]
+        out.append(common.hash_spans(data[base : ends[-1]], begin[a:b] - base, ends - base))
+    return np.concatenate(out)
+
+
 class SuffixArray:
     """All strings of `length` bytes of some runs, sorted, equal ones grouped."""
 
@@ -275,51 +305,64 @@ class SuffixArray:
         for k in range(8):
             self.words = self.words << np.uint64(8) | padded[k : k + len(self.words)]
         starts = gathered(np.arange(len(data)), begin, size - length + 1)
-        mine = np.zeros(len(data), bool)
-        mine[starts] = True
-        order = self._refined(len(data))
-        self.order = order[mine[order]].astype(np.int64)
         self.begin, self.count = begin, size - length + 1
+        self.order = self._refined(len(data), starts)
         same = self._common_prefixes() >= length
         self.group = np.cumsum(~same) - 1  # along the order
         self.head = np.flatnonzero(~same)
 
-    def _refined(self, n: int) -> np.ndarray:
-        """Larsson-Sadakane: positions sorted by eight bytes, then groups that are still open by the rank of what follows."""
-        words = self.words[:n]
-        order = np.argsort(words).astype(np.int32)  # equal ones are told apart below, or never
-        slot, ranked = np.arange(n, dtype=np.int32), words[order]
-        first = np.concatenate(([True], ranked[1:] != ranked[:-1])) if n else np.zeros(0, bool)
-        del ranked
-        head = np.maximum.accumulate(np.where(first, slot, 0))
-        rank = np.full(n + self.length, -1, np.int32)
-        rank[order] = head
-        depth = 8
+    def _refined(self, n: int, starts: np.ndarray) -> np.ndarray:
+        """Larsson-Sadakane: positions sorted by eight bytes, then groups that are still open by the rank of what follows.
+
+        A pass ranks only the positions that later passes look at, the last one only the starts.
+        Equal strings stand in the order of their positions.
+        """
+        aheads, depth = [], 8
         while depth < self.length:
-            ahead = min(depth, self.length - depth)
-            alone = first & np.concatenate((first[1:], [True]))
-            open_slots = np.flatnonzero(~alone)
-            if not len(open_slots):
-                break
+            aheads.append(min(depth, self.length - depth))
+            depth += aheads[-1]
+        needed = [np.zeros(n, bool)]
+        needed[0][starts] = True
+        for ahead in reversed(aheads):
+            wider = needed[0].copy()
+            wider[ahead:] |= needed[0][:-ahead]
+            needed.insert(0, wider)
+        order = np.flatnonzero(needed[0]).astype(np.int32)
+        ranked = self.words[order]
+        by = np.argsort(ranked)
+        order, ranked = order[by], ranked[by]
+        first = np.ones(len(order), bool)
+        first[1:] = ranked[1:] != ranked[:-1]
+        del ranked, by
+        rank = np.full(n + self.length, -1, np.int32)
+        for ahead, mask in zip(aheads, needed[1:], strict=True):
+            head = np.maximum.accumulate(np.where(first, np.arange(len(order), dtype=np.int32), 0))
+            rank[order] = head
+            kept = mask[order]
+            order, head = order[kept], head[kept]
+            first = np.ones(len(order), bool)
+            first[1:] = head[1:] != head[:-1]
+            open_slots = np.flatnonzero(~(first & np.append(first[1:], True)))
             members = order[open_slots]
             key = head[open_slots].astype(np.uint64) << np.uint64(32) | (rank[members + ahead] + 1).astype(np.uint64)
             by = np.argsort(key)
             key = key[by]
             order[open_slots] = members[by]
-            first[open_slots] = np.concatenate(([True], key[1:] != key[:-1]))
-            head = np.maximum.accumulate(np.where(first, slot, 0))
-            rank[order] = head
-            depth += ahead
-        return order
+            if len(key):
+                first[open_slots] = np.concatenate(([True], key[1:] != key[:-1]))
+        return np.sort((np.cumsum(first, dtype=np.int64) << 32) | order) & 0xFFFFFFFF
 
     def _common_prefixes(self) -> np.ndarray:
         """Kasai: of each string with the one before it, from the longest known for the string one byte to the left."""
         n = len(self.order)
-        out, rank = np.zeros(n, np.int64), np.full(len(self.words) + 1, -1, np.int64)
-        rank[self.order] = np.arange(n)
-        by_count = np.argsort(-self.count, kind="stable")
-        begin, count = self.begin[by_count], self.count[by_count]
-        known, left_before = np.zeros(len(begin), np.int64), np.full(len(begin), -1)
+        out, rank = np.zeros(n, np.int32), np.full(len(self.words) + 1, -1, np.int32)
+        rank[self.order] = np.arange(n, dtype=np.int32)
+        pieces = -(-self.count // LANE)
+        turn = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin, count = np.repeat(self.begin, pieces) + turn * LANE, np.minimum(np.repeat(self.count, pieces) - turn * LANE, LANE)
+        by_count = np.argsort(-count, kind="stable")
+        begin, count = begin[by_count], count[by_count]
+        known, left_before = np.zeros(len(begin), np.int32), np.full(len(begin), -1)
         for step in range(int(count.max(initial=0))):
             lanes = int(np.searchsorted(-count, -step, "left"))  # runs with more starts than step
             at = begin[:lanes] + step
@@ -330,10 +373,13 @@ class SuffixArray:
             size = np.where(sound, np.maximum(known[:lanes] - 1, 0), 0)
             live = np.flatnonzero((other >= 0) & (size < self.length))
             while len(live):
-                differs = self.words[at[live] + size[live]] ^ self.words[other[live] + size[live]]
-                for bits in range(0, 64, 8):  # leading bytes that agree
-                    size[live] += differs < np.uint64(1 << bits)
-                live = live[(differs == 0) & (size[live] < self.length)]
+                so_far = size[live]
+                differs = self.words[at[live] + so_far] ^ self.words[other[live] + so_far]
+                # The highest bit tells how many leading bytes agree; without the bit below it, rounding cannot move it.
+                bits = np.frexp((differs & ~(differs >> np.uint64(1))).astype(float))[1]
+                so_far += 8 - (bits + 7) // 8
+                size[live] = so_far
+                live = live[(bits == 0) & (so_far < self.length)]
             size = np.minimum(size, self.length)
             out[mine] = known[:lanes] = size
             left_before[:lanes] = other
@@ -364,11 +410,30 @@ class SuffixArray:
         return [self.words[self.order[self.head] + step] for step in self.steps()]
 
 
-def smallest_owner(data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner: np.ndarray, length: int, limit: int = ARRAY_BYTES) -> np.ndarray:
-    """For each start of a string in the runs, in order, the smallest owner of a run that has the string."""
+def smallest_owner(
+    data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner: np.ndarray, length: int, limit: int = ARRAY_BYTES, key: np.ndarray | None = None
+) -> np.ndarray:
+    """For each start of a string in the runs, in order, the smallest owner of a run that has the string.
+
+    Runs with equal strings have equal keys, if keys are given; they are in ascending order then.
+    """
     cut = np.flatnonzero(np.diff(begin // limit, prepend=-1))
+    if key is not None:  # an array begins with a new key, unless the runs of one key are too many for it
+        heads = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        long = np.diff(np.append(begin[heads], begin[-1] + size[-1])) > limit
+        inside = np.flatnonzero(np.repeat(long, np.diff(np.append(heads, len(key)))))
+        cut = np.union1d(heads[np.concatenate(([True], np.diff(begin[heads] // limit) > 0))], np.intersect1d(cut, inside))
+    ends = np.append(cut[1:], len(begin))
+    # Arrays without a key in common with those before them need not be held beside them.
+    apart = np.flatnonzero(key[cut[1:]] != key[cut[1:] - 1]) + 1 if key is not None else np.empty(0, np.int64)
+    chains = zip(np.split(cut, apart), np.split(ends, apart), strict=True) if len(cut) else ()
+    return np.concatenate([np.empty(0, np.int64), *(x for cuts, stops in chains for x in _merged(data, begin, size, owner, length, cuts, stops))])
+
+
+def _merged(data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner: np.ndarray, length: int, cuts: np.ndarray, stops: np.ndarray) -> list[np.ndarray]:
+    """The smallest owners by array, one array for the runs from each cut on, each pair of arrays merged."""
     arrays, least = [], []
-    for a, b in zip(cut, np.append(cut[1:], len(begin)), strict=True):
+    for a, b in zip(cuts, stops, strict=True):
         base, stop = begin[a], begin[b - 1] + size[b - 1]
         array = SuffixArray(data[base:stop], begin[a:b] - base, size[a:b], length)
         of = np.zeros(stop - base, np.int64)
@@ -387,7 +452,7 @@ def smallest_owner(data: np.ndarray, begin: np.ndarray, size: np.ndarray, owner:
         at = np.zeros(len(array.words), np.int64)
         at[array.order] = value[array.group]
         out.append(at[starts])
-    return np.concatenate(out) if out else np.empty(0, np.int64)
+    return out
 
 
 def _resolve(blobs: list[tuple[int, bytes, int]], length: int) -> pa.Table:
@@ -407,7 +472,7 @@ def _resolve(blobs: list[tuple[int, bytes, int]], length: int) -> pa.Table:
     chosen = np.sort(order[np.repeat(several, np.diff(np.append(head, len(order))))])
     number = np.full(len(key), -1, np.int64)
     if len(chosen):
-        body = common.hash_spans(data, begin[chosen], begin[chosen] + size[chosen])
+        body = body_hashes(data, begin[chosen], size[chosen].astype(np.int64))
         by = np.lexsort((least[chosen], body, key[chosen]))
         near_key, near_body = key[chosen][by], body[by]
         new = np.concatenate(([True], (near_key[1:] != near_key[:-1]) | (near_body[1:] != near_body[:-1])))
@@ -416,7 +481,7 @@ def _resolve(blobs: list[tuple[int, bytes, int]], length: int) -> pa.Table:
         bytes_of = gathered(data, begin[sole], size[sole].astype(np.int64))
         start = np.cumsum(size[sole], dtype=np.int64) - size[sole]
         del data, body, near_key, near_body
-        owner = smallest_owner(bytes_of, start, size[sole].astype(np.int64), least[sole], length)
+        owner = smallest_owner(bytes_of, start, size[sole].astype(np.int64), least[sole], length, key=key[sole])
         count = size[sole].astype(np.int64) - length + 1
         base = np.cumsum(count) - count
     places = np.flatnonzero(number[run] >= 0)

@@ -149,6 +149,39 @@ def test_suffix_arrays_merge(limit):
     assert found.tolist() == [least[t[k : k + 50]] for t in texts for k in range(len(t) - 49)]
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 3000, 500])
+def test_suffix_arrays_merge_only_along_a_key(limit, monkeypatch):
+    rng = np.random.default_rng(11)
+    runs = []
+    for key in (3, 4, 4, 9, 2**63, 2**64 - 1):
+        middle = bytes(rng.integers(97, 123, 50, dtype=np.uint8))
+        for _ in range(60 if key == 9 else 5):  # key 9 has more bytes than the smaller arrays hold
+            left, right = (bytes(rng.integers(97, 99, int(n), dtype=np.uint8)) for n in rng.integers(0, 150, 2))
+            runs.append((key, left + middle + right))
+    key, texts = np.array([k for k, _ in runs], np.uint64), [t for _, t in runs]
+    owner = rng.permutation(len(texts))
+    least = {}
+    for (k, text), o in zip(runs, owner, strict=True):
+        for at in range(len(text) - 49):
+            least[k, text[at : at + 50]] = min(least.get((k, text[at : at + 50]), 10**9), o)
+    size, searches, find = np.array([len(t) for t in texts]), [], suffixes.SuffixArray.find
+    monkeypatch.setattr(suffixes.SuffixArray, "find", lambda self, words: searches.append(1) or find(self, words))
+    found = suffixes.smallest_owner(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size, owner, 50, limit, key)
+    assert found.tolist() == [least[k, t[at : at + 50]] for k, t in runs for at in range(len(t) - 49)]
+    arrays = int(size[key == 9].sum()) // limit + 2
+    assert len(searches) <= arrays * (arrays - 1) // 2
+
+
+def test_suffix_array_looks_along_bounded_lanes():
+    """A run of many starts costs no more steps than LANE, and equal strings stand in the order of their places."""
+    text = np.frombuffer(b"abcdefg" * 3000 + bytes(range(200)), np.uint8)
+    array = suffixes.SuffixArray(text, np.array([0]), np.array([len(text)]), 50)
+    for group in np.split(array.order, array.head[1:]):
+        strings = {bytes(text[k : k + 50]) for k in group.tolist()}
+        assert len(strings) == 1 and (np.diff(group) > 0).all()
+    assert len(array.head) == len({bytes(text[k : k + 50]) for k in range(len(text) - 49)})
+
+
 def brute_katz(rows):
     tokens = [(i, [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(A_Z)), None]) for i, t in rows]
     held = [zlib.crc32(str(i).encode() if i is not None else b"") % 7 == 2 for i, _ in rows]
