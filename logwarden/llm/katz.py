@@ -15,7 +15,7 @@ are known.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,9 @@ SHARD_TEXT = 28 << 20
 #: Hashes that stand for the beginning and the end of a text.
 BEGIN, END = np.uint64(0xB5297A4D3F84D5B5), np.uint64(0x68E31DA4C2B2AE35)
 _BITS = 20  # of the number of a frequent word, the beginning included
+#: Bits of a hash that choose where the search for a word begins, and steps from there before a binary search.
+_INDEX_BITS, _STEPS = 20, 8
+_TEXT_BITS = np.uint64(64 - 2 * _BITS)  # that a pair of frequent words leaves for the number of its text
 
 
 def held_out() -> Column:
@@ -74,12 +77,32 @@ class Words:
     hashes: np.ndarray
     count: np.ndarray
     terms: dict[str, np.ndarray]
+    _index: np.ndarray | None = field(default=None, init=False, repr=False)
 
     def find(self, words: np.ndarray) -> np.ndarray:
         """The number of each word; -1 if it is not frequent."""
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+        high = np.uint64(64 - _INDEX_BITS)
+        if self._index is None:
+            self._index = np.searchsorted(self.hashes, np.arange(1 << _INDEX_BITS, dtype=np.uint64) << high).astype(np.int32)
+        last = len(self.hashes) - 1
+        at = np.minimum(self._index[words >> high], last)
+        behind = np.flatnonzero((self.hashes[at] < words) & (at < last))
+        for _ in range(_STEPS):  # hashes are spread evenly, so few words share their upper bits
+            if not len(behind):
+                break
+            at[behind] += 1
+            behind = behind[(self.hashes[at[behind]] < words[behind]) & (at[behind] < last)]
+        if len(behind):
+            at[behind] = np.minimum(np.searchsorted(self.hashes, words[behind]), last)
         return np.where(self.hashes[at] == words, at, -1)
 
+    def find_both(self, before: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words before and of the words, each word before being the last one or BEGIN."""
+        b = self.find(words)
+        a = np.concatenate((b[:1], b[:-1]))
+        a[before == BEGIN] = self.find(np.array([BEGIN]))[0]
+        return a, b
+
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.slices(batches):
@@ -103,21 +126,31 @@ _SHARD = "shard int, blob binary, size bigint"
 
 def _counted(columns: list[np.ndarray]) -> list[np.ndarray]:
     """The distinct rows of the columns, in order, and how often each occurs."""
-    order = np.lexsort(columns[::-1])
-    columns = [c[order] for c in columns]
-    new = np.ones(len(order), bool)
-    if len(order):
+    columns = _sorted(columns)
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
         new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
     head = np.flatnonzero(new)
-    return [*(c[head] for c in columns), np.diff(np.append(head, len(order)))]
+    return [*(c[head] for c in columns), np.diff(np.append(head, len(new)))]
+
+
+def _sorted(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The rows of the columns, in order."""
+    if len(columns) == 1:
+        return [np.sort(columns[0])]
+    order = np.lexsort(columns[::-1])
+    return [c[order] for c in columns]
 
 
-def _dealt(h: np.ndarray, w: np.ndarray, value: np.ndarray | None, words: Words, shards: int, rows: np.ndarray, train: np.ndarray) -> Iterator[tuple]:
-    """Pairs by shard.  `value` is the text of each pair; without it, equal pairs are counted.
+def _dealt(
+    h: np.ndarray, w: np.ndarray, value: np.ndarray | None, words: Words, shards: int, rows: np.ndarray, train: np.ndarray,
+    found: tuple[np.ndarray, np.ndarray] | None = None,
+) -> Iterator[tuple]:
+    """Pairs by shard.  `value` is the text of each pair; without it, equal pairs are counted.  `found` has the words' numbers.
 
     A pair with a word that is not frequent goes where that word's terms are (the first of two).
     """
-    a, b = words.find(h), words.find(w)
+    a, b = found or words.find_both(h, w)
     usual, one, two = (a >= 0) & (b >= 0), (a >= 0) != (b >= 0), (a < 0) & (b < 0)
     mixed = np.where(a[one] < 0, 2 * b[one] + 1, 2 * a[one]).astype(np.int32)
     groups = [[a[usual].astype(np.uint64) << np.uint64(_BITS) | b[usual].astype(np.uint64)], [np.where(a[one] < 0, h[one], w[one]), mixed], [h[two], w[two]]]
@@ -126,12 +159,15 @@ def _dealt(h: np.ndarray, w: np.ndarray, value: np.ndarray | None, words: Words,
         if value is None:
             columns = _counted(columns)
         else:
-            columns = [*columns, value[chosen]]
-            order = np.lexsort(columns[::-1])
-            columns = [c[order] for c in columns]
-        shard = common.mix(columns[0]) % np.uint64(shards)
+            text = value[chosen]
+            if len(columns) == 1 and len(rows) <= 1 << int(_TEXT_BITS):  # both fit into one number
+                both = np.sort(columns[0] << _TEXT_BITS | text.astype(np.uint64))
+                columns = [both >> _TEXT_BITS, (both & ((np.uint64(1) << _TEXT_BITS) - np.uint64(1))).astype(np.int64)]
+            else:
+                columns = _sorted([*columns, text])
+        shard = (common.mix(columns[0]) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)  # short ones sort by digits
         by = np.argsort(shard, kind="stable")
-        dealt.append((columns, by, np.searchsorted(shard[by], np.arange(shards + 1, dtype=np.uint64))))
+        dealt.append((columns, by, np.cumsum([0, *np.bincount(shard, minlength=shards)])))
     for k in range(shards):
         arrays = [[c[by[cuts[k] : cuts[k + 1]]] for c in columns] for columns, by, cuts in dealt]
         if any(len(x[0]) for x in arrays):
@@ -331,19 +367,20 @@ def _evaluate_words(words: Broadcast, numbers: dict[str, float], shards: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = words.value
+        base = _base(known.count, numbers)
         for batch in common.slices(batches):
             rows = batch.column("row").to_numpy()
             train_mark = ~batch.column("held").to_numpy(zero_copy_only=False)
             w, h, owner = words_of(common.text_bytes(batch.column("text")))
-            a, b = known.find(h), known.find(w)
+            a, b = known.find_both(h, w)
             n = batch.num_rows
             score = np.where(b >= 0, known.terms["probability"][b], 0) + np.where(a >= 0, known.terms["weight"][a], 0)
             parts = {
                 "tokens": np.bincount(owner, minlength=n), "known": np.bincount(owner, b >= 0, n),
-                "base": np.bincount(owner, np.where(b >= 0, _base(known.count[b], numbers), 0), n), "score": np.bincount(owner, score, n),
+                "base": np.bincount(owner, np.where(b >= 0, base[b], 0), n), "score": np.bincount(owner, score, n),
             }
             yield _mixed(_rows(rows, None, batch.column("doc_id"), batch.column("held"), **parts), shards)
-            for shard, blob, size in _dealt(h, w, owner, known, shards, rows, train_mark):
+            for shard, blob, size in _dealt(h, w, owner, known, shards, rows, train_mark, (a, b)):
                 yield _mixed_blob(shard, blob, size)
 
     return run

@@ -288,6 +288,31 @@ def test_shared_contexts_are_one_row_per_shard_and_part():
     assert shared.num_rows <= 3 * 2 and set(shared["part"].to_pylist()) == {0, 1}
 
 
+@pytest.mark.parametrize("crowd", [0, 100])
+def test_words_are_found_without_a_binary_search_for_each(crowd, monkeypatch):
+    """Even where more words than steps share their upper bits."""
+    rng = np.random.default_rng(3)
+    same = (np.uint64(77) << np.uint64(64 - katz._INDEX_BITS)) + np.arange(1, crowd + 1, dtype=np.uint64) * np.uint64(5)
+    hashes = np.unique(np.concatenate((rng.integers(0, 2**64, 5000, dtype=np.uint64), same, [katz.BEGIN, np.uint64(0), np.uint64(2**64 - 1)])))
+    words = katz.Words(hashes, np.ones(len(hashes)), {})
+    asked = np.concatenate((hashes, hashes + np.uint64(1), rng.integers(0, 2**64, 5000, dtype=np.uint64)))
+    place = {h: k for k, h in enumerate(hashes.tolist())}
+    expected = [place.get(x, -1) for x in asked.tolist()]
+    assert words.find(asked[:0]).tolist() == [] and words.find(asked).tolist() == expected
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest: searched.append(len(v)) or search(a, v, *rest))
+    assert words.find(asked).tolist() == expected
+    assert sum(searched) <= 2 * crowd
+
+
+def test_words_before_are_numbered_once():
+    texts = [b"one two", b"", b"two Two one", b"other"]
+    w, h, _ = katz.words_of(texts)
+    for some in (np.unique(np.append(w, katz.BEGIN)), np.unique(np.append(w[::2], katz.BEGIN)), np.array([katz.BEGIN])):
+        known = katz.Words(some, np.ones(len(some)), {})
+        assert [x.tolist() for x in known.find_both(h, w)] == [known.find(h).tolist(), known.find(w).tolist()]
+
+
 def test_sums_of_pairs_are_one_row_per_shard_and_blob():
     texts = [f"one two three {k} four five {k % 7}".encode() for k in range(50)]
     w, h, owner = katz.words_of(texts)
